@@ -7,7 +7,8 @@ The rules, for text ``x`` after trimming:
 * anything else (blank, not a number, too many digits) gives 0 (``blank="zero"``) or null
   (``blank="null"``).
 
-SQL null stays null in both modes.
+SQL null stays null, unless ``present`` says that the field is there with a null in it: that counts
+as blank.
 """
 
 from __future__ import annotations
@@ -28,12 +29,15 @@ def _check(blank: str) -> None:
         raise ValueError(f"blank must be one of {_BLANK_MODES}, got {blank!r}")
 
 
-def _or_blank(text: Column, number: Column, zero: Column, blank: str) -> Column:
-    return F.when(text.isNotNull(), F.coalesce(number, zero)) if blank == "zero" else number
+def _or_blank(text: Column, number: Column, zero: Column, blank: str, present: Column | None) -> Column:
+    _check(blank)
+    if blank == "null":
+        return number
+    counts = text.isNotNull() if present is None else text.isNotNull() | present
+    return F.coalesce(number, F.when(counts, zero))
 
 
-def _whole_number(text: Column, sql_type: str, blank: str) -> Column:
-    _check(blank)
+def _whole_number(text: Column, sql_type: str, blank: str, present: Column | None) -> Column:
     low, high = _RANGES[sql_type]
     trimmed = F.trim(text)
     as_double = trimmed.try_cast("double")
@@ -45,21 +49,17 @@ def _whole_number(text: Column, sql_type: str, blank: str) -> Column:
     )
     # plain digits never go through a double, which would round long values
     plain = trimmed.rlike("^[+-]?[0-9]+$")
-    number = F.coalesce(
-        trimmed.try_cast(sql_type),
-        F.when(~plain, clamped),
-    )
-    return _or_blank(text, number, F.lit(0).cast(sql_type), blank)
+    number = F.coalesce(trimmed.try_cast(sql_type), F.when(~plain, clamped))
+    return _or_blank(text, number, F.lit(0).cast(sql_type), blank, present)
 
 
-def lenient_int(text: Column, blank: str = "zero") -> Column:
-    return _whole_number(text, "int", blank)
+def lenient_int(text: Column, blank: str = "zero", present: Column | None = None) -> Column:
+    return _whole_number(text, "int", blank, present)
 
 
-def lenient_long(text: Column, blank: str = "zero") -> Column:
-    return _whole_number(text, "bigint", blank)
+def lenient_long(text: Column, blank: str = "zero", present: Column | None = None) -> Column:
+    return _whole_number(text, "bigint", blank, present)
 
 
-def lenient_double(text: Column, blank: str = "zero") -> Column:
-    _check(blank)
-    return _or_blank(text, F.trim(text).try_cast("double"), F.lit(0.0), blank)
+def lenient_double(text: Column, blank: str = "zero", present: Column | None = None) -> Column:
+    return _or_blank(text, F.trim(text).try_cast("double"), F.lit(0.0), blank, present)

@@ -14,7 +14,9 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # one state row per key and live window: keep it off the JVM heap
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # every micro-batch commits its changes durably; full snapshots follow every 300 seconds
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "300s",
 }
 
 
