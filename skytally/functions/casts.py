@@ -16,11 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The integer ranges, and the doubles at which a conversion must clamp.
-_RANGES = {
-    "int": (-(2**31), 2**31 - 1),
-    "bigint": (-(2**63), 2**63 - 1),
-}
+# The range of INT.
+INT_MIN, INT_MAX = -(2**31), 2**31 - 1
+
 _BLANK_MODES = ("zero", "null")
 
 
@@ -38,18 +36,17 @@ def _or_blank(text: Column, number: Column, zero: Column, blank: str, present: C
 
 
 def _whole_number(text: Column, sql_type: str, blank: str, present: Column | None) -> Column:
-    low, high = _RANGES[sql_type]
     trimmed = F.trim(text)
     as_double = trimmed.try_cast("double")
-    clamped = (
-        F.when(F.isnan(as_double), F.lit(0).cast(sql_type))
-        .when(as_double <= F.lit(float(low)), F.lit(low).cast(sql_type))
-        .when(as_double >= F.lit(float(high)), F.lit(high).cast(sql_type))
-        .otherwise(as_double.try_cast(sql_type))
-    )
+    # floor and ceiling of a double are BIGINT, clamp at its ends and turn NaN into 0
+    cut = F.when(F.startswith(trimmed, F.lit("-")), F.ceil(as_double)).otherwise(F.floor(as_double))
+    if sql_type == "int":
+        clamped = F.least(F.greatest(cut, F.lit(INT_MIN)), F.lit(INT_MAX)).cast("int")
+        cut = F.when(as_double.isNotNull(), clamped)
     # plain digits never go through a double, which would round long values
     plain = trimmed.rlike("^[+-]?[0-9]+$")
-    number = F.coalesce(trimmed.try_cast(sql_type), F.when(~plain, clamped))
+    # blank text is common and a failed parse as a double costs an exception: test for it first
+    number = F.when(trimmed != "", F.coalesce(trimmed.try_cast(sql_type), F.when(~plain, cut)))
     return _or_blank(text, number, F.lit(0).cast(sql_type), blank, present)
 
 
@@ -62,4 +59,6 @@ def lenient_long(text: Column, blank: str = "zero", present: Column | None = Non
 
 
 def lenient_double(text: Column, blank: str = "zero", present: Column | None = None) -> Column:
-    return _or_blank(text, F.trim(text).try_cast("double"), F.lit(0.0), blank, present)
+    trimmed = F.trim(text)
+    number = F.when(trimmed != "", trimmed.try_cast("double"))
+    return _or_blank(text, number, F.lit(0.0), blank, present)
