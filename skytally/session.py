@@ -26,7 +26,9 @@ def apply_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", checkpoint_dir: str | None = None
+) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -37,6 +39,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
