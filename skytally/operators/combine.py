@@ -1,0 +1,71 @@
+"""Combining rows per key and pane within each input task, without a shuffle and without state.
+
+Spark pre-aggregates a grouped batch map-side by itself. On a stream an aggregate of its own would
+be a second stateful operator, so the rows of a micro-batch are combined here, batch by Arrow batch,
+before they are copied to their windows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from skytally.functions.measures import ALL_ROWS, Part
+
+# Groups a task holds before it passes them on, which bounds its memory.
+HELD_GROUPS = 200_000
+
+# How two partial results of a kind merge.
+MERGE = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
+
+
+def part_types(rows: DataFrame, parts: Sequence[Part]) -> dict[str, T.DataType]:
+    empty = rows.sparkSession.createDataFrame([], rows.schema)
+    schema = empty.agg(*[p.over_rows().alias(p.name) for p in parts]).schema
+    return {f.name: f.dataType for f in schema}
+
+
+def _of_one_row(part: Part, dtype: T.DataType) -> Column:
+    if part == ALL_ROWS:
+        return F.lit(1).cast(dtype)
+    column = F.col(f"`{part.column}`")
+    return column.isNotNull().cast("int").cast(dtype) if part.kind == "count" else column.cast(dtype)
+
+
+def combine_in_tasks(rows: DataFrame, group: Sequence[str], parts: Sequence[Part]) -> DataFrame:
+    """``group`` columns and parts; a group may still come from several tasks, and several times from one."""
+    types = part_types(rows, parts)
+    single = rows.select(
+        *[F.col(f"`{g}`") for g in group],
+        *[_of_one_row(p, types[p.name]).alias(p.name) for p in parts],
+    )
+    return single.mapInArrow(_combiner(group, parts, single.schema), single.schema)
+
+
+def _combiner(
+    group: Sequence[str], parts: Sequence[Part], schema: T.StructType
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    arrow = to_arrow_schema(schema)
+    merges = [(p.name, MERGE[p.kind]) for p in parts]
+
+    def merged(tables: list[pa.Table]) -> pa.Table:
+        out = pa.concat_tables(tables).group_by(list(group), use_threads=False).aggregate(merges)
+        columns = [out[g] for g in group] + [out[f"{name}_{how}"] for name, how in merges]
+        return pa.Table.from_arrays(columns, names=arrow.names).cast(arrow)
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            held.append(merged([pa.Table.from_batches([batch]).cast(arrow)]))
+            if sum(t.num_rows for t in held) > HELD_GROUPS:
+                yield from merged(held).combine_chunks().to_batches()
+                held = []
+        if held:
+            yield from merged(held).combine_chunks().to_batches()
+
+    return combine

@@ -2,10 +2,12 @@
 
 Windows are ``[start, end)``, aligned to the epoch. A hopping window of ``size`` that starts every
 ``slide`` puts each row into ``size / slide`` windows, 720 for one hour every five seconds, so how
-the windows share work decides the cost. Four ways to compute the same rows:
+the windows share work decides the cost. Five ways to compute the same rows:
 
 ``window``   Spark's own sliding window: every row is copied once per window before the aggregate.
 ``explode``  the same copies, made by a generator; works on streams and scales to many windows.
+``combine``  rows are combined per pane within their input task, then copied like ``explode``: the
+             way for long windows on streams, where the panes cannot be an aggregate of their own.
 ``panes``    aggregate per slide-long pane first, then copy the pane rows.
 ``runs``     aggregate per pane, then find, per key and window-sized block, the stretches of window
              starts whose contents do not change, and write each stretch out. A pane row crosses
@@ -23,11 +25,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytally.functions.measures import ALL_ROWS, Measure, check_types, distinct_parts
+from skytally.operators.combine import combine_in_tasks
 from skytally.streaming.eventtime import with_watermark
 
-STRATEGIES = ("window", "explode", "panes", "runs")
-# Up to this many windows per row a stream uses Spark's own sliding window.
+STRATEGIES = ("window", "explode", "combine", "panes", "runs")
+BATCH_ONLY = ("panes", "runs")
+# On streams: Spark's own sliding window up to this many windows per row, then plain copies up to
+# the second limit.
 STREAM_WINDOW_LIMIT = 12
+STREAM_EXPLODE_LIMIT = 120
 DEFAULT_DELAY = timedelta(seconds=30)
 
 
@@ -96,20 +102,23 @@ def hop(
         strategy = _pick(rows, size, slide)
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
-    if strategy in ("panes", "runs") and rows.isStreaming:
+    if strategy in BATCH_ONLY and rows.isStreaming:
         raise ValueError(f"strategy {strategy!r} needs all panes of a window at once: batch only")
     if strategy != "window" and micros(size) % micros(slide):
         raise ValueError(f"strategy {strategy!r} needs a size that is a multiple of the slide")
     if strategy == "window":
         return _by_window(rows, time, size, slide, keys, measures, bounds, delay)
-    if strategy == "explode":
-        return _by_explode(rows, time, size, slide, keys, measures, bounds, delay)
-    panes = _panes(rows, time, slide, keys, measures)
-    expand = _expand_panes if strategy == "panes" else _expand_runs
-    if partitions is None:
-        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    starts = expand(panes, size, slide, keys, measures, partitions)
-    zoneless = isinstance(rows.schema[time].dataType, T.TimestampNTZType)
+    if strategy in ("explode", "combine"):
+        early = strategy == "combine"
+        return _by_explode(rows, time, size, slide, keys, measures, bounds, delay, early)
+    zoneless = _check_zone(rows, time)
+    if strategy == "panes":
+        starts = _expand_panes(_panes(rows, time, slide, keys, measures), size, slide, keys, measures)
+    else:
+        if partitions is None:
+            partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        panes = _panes(rows, time, slide, keys, measures)
+        starts = _expand_runs(panes, size, slide, keys, measures, partitions)
     return starts.select(
         *_named(keys),
         _instant(F.col("__start"), zoneless).alias(bounds[0]),
@@ -123,7 +132,16 @@ def _pick(rows: DataFrame, size: timedelta, slide: timedelta) -> str:
         return "window"
     if not rows.isStreaming:
         return "runs"
-    return "window" if size // slide <= STREAM_WINDOW_LIMIT else "explode"
+    if size // slide <= STREAM_WINDOW_LIMIT:
+        return "window"
+    return "explode" if size // slide <= STREAM_EXPLODE_LIMIT else "combine"
+
+
+def _check_zone(rows: DataFrame, time: str) -> bool:
+    zoneless = isinstance(rows.schema[time].dataType, T.TimestampNTZType)
+    if zoneless and rows.sparkSession.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
+        raise ValueError("a time column without zone needs spark.sql.session.timeZone=UTC")
+    return zoneless
 
 
 def _finished(measures: Sequence[Measure]) -> list[Column]:
@@ -145,28 +163,31 @@ def _by_window(rows, time, size, slide, keys, measures, bounds, delay) -> DataFr
     )
 
 
-def _by_explode(rows, time, size, slide, keys, measures, bounds, delay) -> DataFrame:
-    """Copy each row to the ends of its windows, then group.
+def _by_explode(rows, time, size, slide, keys, measures, bounds, delay, early) -> DataFrame:
+    """Copy each row to the ends of its windows, then group; ``early`` combines the rows of a pane first.
 
     On a stream the watermark sits on the window end and allows for the window's size, so windows
     close exactly when a watermark on the event time would close them (size and delay being
     multiples of the slide; otherwise less than one slide later).
     """
-    used = dict.fromkeys([*keys, *(p.column for p in distinct_parts(measures) if p != ALL_ROWS)])
-    first_end = F.window(f"`{time}`", duration(slide)).end
+    parts = distinct_parts(measures)
+    pane_end = F.window(f"`{time}`", duration(slide)).end.alias("__pane_end")
+    used = dict.fromkeys([*keys, *(p.column for p in parts if p != ALL_ROWS)])
+    placed = rows.select(*_named(list(used)), pane_end)
+    if early:
+        placed = combine_in_tasks(placed, [*keys, "__pane_end"], parts)
     step = F.expr(f"INTERVAL '{micros(slide) / 1e6:.6f}' SECOND")
     ends = F.transform(
-        F.sequence(F.lit(0), F.lit(size // slide - 1)), lambda k: F.col("__first_end") + k * step
+        F.sequence(F.lit(0), F.lit(size // slide - 1)), lambda k: F.col("__pane_end") + k * step
     )
-    copies = (
-        rows.select(*_named(list(used)), first_end.alias("__first_end"))
-        .select(*_named(list(used)), F.explode(ends).alias("__end"))
-    )
+    copies = placed.select("*", F.explode(ends).alias("__end")).drop("__pane_end")
     totals = (
         with_watermark(copies, "__end", size + delay)
         .groupBy("__end", *_named(keys))
-        .agg(*[p.over_rows().alias(p.name) for p in distinct_parts(measures)])
-    )
+        .agg(*[
+            (p.over_parts(F.col(f"`{p.name}`")) if early else p.over_rows()).alias(p.name) for p in parts
+        ])
+    )
     return totals.select(
         *_named(keys),
         (F.col("__end") - F.expr(f"INTERVAL '{micros(size) / 1e6:.6f}' SECOND")).alias(bounds[0]),
@@ -186,9 +207,6 @@ def _panes(rows, time, slide, keys, measures) -> DataFrame:
     The one pass over raw rows: combined map-side, and spread by key *and* pane, so rows of one key
     end up in many tasks.
     """
-    zoneless = isinstance(rows.schema[time].dataType, T.TimestampNTZType)
-    if zoneless and rows.sparkSession.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
-        raise ValueError("a time column without zone needs spark.sql.session.timeZone=UTC")
     us = F.unix_micros(F.col(f"`{time}`").cast("timestamp"))
     pane = us - F.pmod(us, _us(slide))
     return (
@@ -198,7 +216,7 @@ def _panes(rows, time, slide, keys, measures) -> DataFrame:
     )
 
 
-def _expand_panes(panes, size, slide, keys, measures, partitions) -> DataFrame:
+def _expand_panes(panes, size, slide, keys, measures) -> DataFrame:
     starts = F.sequence(
         F.col("__pane") - _us(size - slide), F.col("__pane"), _us(slide)
     )

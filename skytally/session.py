@@ -17,6 +17,8 @@ REQUIRED_CONF = {
     # every micro-batch commits its changes durably; full snapshots follow every 300 seconds
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.maintenanceInterval": "300s",
+    # counting the rows of the store costs a read before every write
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 

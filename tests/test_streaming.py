@@ -51,7 +51,7 @@ def run(spark, result, mode="append"):
     return out, query
 
 
-@pytest.mark.parametrize("strategy", ["window", "explode"])
+@pytest.mark.parametrize("strategy", ["window", "explode", "combine"])
 def test_hop_with_late_rows(spark, strategy):
     stream, _ = recorded(spark, FILES)
     result = hop(
@@ -71,7 +71,7 @@ def test_stream_equals_batch_where_windows_closed(spark):
     batch = spark.read.parquet(folder)
     closed = F.col("hopEnd") <= F.timestamp_seconds(F.lit(START + 159 - 30))
     expected = rows(hop(batch, "t", 60 * SECOND, 5 * SECOND, ["icao"], MEASURES).where(closed))
-    for strategy in ("auto", "window", "explode"):
+    for strategy in ("auto", "window", "explode", "combine"):
         out, query = run(spark, hop(stream, "t", 60 * SECOND, 5 * SECOND, ["icao"], MEASURES, strategy=strategy))
         assert rows(out.drop("batch")) == expected, strategy
         assert sum(dropped_late_rows(query)) == 0
