@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from skytally.functions.measures import ALL_ROWS, Measure, check_types, distinct_parts
 from skytally.operators.combine import combine_in_tasks
-from skytally.streaming.eventtime import with_watermark
+from skytally.streaming.eventtime import has_watermark, with_watermark
 
 STRATEGIES = ("window", "explode", "combine", "panes", "runs")
 BATCH_ONLY = ("panes", "runs")
@@ -109,6 +109,11 @@ def hop(
     if strategy == "window":
         return _by_window(rows, time, size, slide, keys, measures, bounds, delay)
     if strategy in ("explode", "combine"):
+        if has_watermark(rows, time):
+            raise ValueError(
+                "the stream has a watermark already and Spark allows one: pass it without, with delay=, "
+                "or choose strategy='window'"
+            )
         early = strategy == "combine"
         return _by_explode(rows, time, size, slide, keys, measures, bounds, delay, early)
     zoneless = _check_zone(rows, time)
@@ -240,7 +245,8 @@ def _expand_runs(panes, size, slide, keys, measures, partitions) -> DataFrame:
     """
     n = size // slide
     parts = distinct_parts(measures)
-    keys_and_block = [*_named(keys), F.col("__block")]
+    # one hash spreads the groups whatever the key columns are, constant ones included
+    group = [F.col("__group"), *_named(keys), F.col("__block")]
     own = F.col("__own")  # the pane lies in the block itself, not in the following one
 
     offset = F.pmod(F.col("__pane"), _us(size))
@@ -261,11 +267,12 @@ def _expand_runs(panes, size, slide, keys, measures, partitions) -> DataFrame:
         .drop("__to")
         # the last pane of the following block enters no window that starts in this one
         .where(own | (F.col("__step") < n))
-        .repartition(partitions, *keys_and_block)
+        .withColumn("__group", F.xxhash64(*_named(keys), "__block"))
+        .repartition(partitions, "__group")
     )
 
-    upward = Window.partitionBy(*keys_and_block).orderBy(F.col("__step"), own)
-    downward = Window.partitionBy(*keys_and_block).orderBy(F.col("__step").desc(), own.desc())
+    upward = Window.partitionBy(*group).orderBy(F.col("__step"), own)
+    downward = Window.partitionBy(*group).orderBy(F.col("__step").desc(), own.desc())
     before = upward.rowsBetween(Window.unboundedPreceding, -1)
     from_here = downward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -276,7 +283,8 @@ def _expand_runs(panes, size, slide, keys, measures, partitions) -> DataFrame:
         return F.when(~own, F.col(f"`{p.name}`"))
 
     steps = spread.select(
-        *keys_and_block,
+        *_named(keys),
+        "__block",
         F.lag("__step", 1, 0).over(upward).alias("__low"),
         F.col("__step"),
         F.lead("__step").over(upward).isNull().alias("__last"),
@@ -299,13 +307,14 @@ def _expand_runs(panes, size, slide, keys, measures, partitions) -> DataFrame:
     past_last_step = run(F.col("__step"), F.lit(n), "before", "entering")
     runs = (
         steps.select(
-            *keys_and_block,
+            *_named(keys),
+            "__block",
             F.explode(
                 F.when(F.col("__last"), F.array(up_to_step, past_last_step)).otherwise(F.array(up_to_step))
             ).alias("__run"),
         )
         .where((F.col("__run.low") < F.col("__run.high")) & F.col(f"__run.{ALL_ROWS.name}").isNotNull())
-        .select(*keys_and_block, "__run.*")
+        .select(*_named(keys), "__block", "__run.*")
     )
     first = F.col("__block") + F.col("low") * _us(slide)
     last = F.col("__block") + (F.col("high") - 1) * _us(slide)

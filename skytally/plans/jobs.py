@@ -1,7 +1,8 @@
 """The four continuous queries.
 
 Each ``*_result`` function maps rows to rows and is the same for tables and streams; each ``run_*``
-function wires a topic, the query and its sinks together.
+function wires a topic, the query and its sinks together. The ``run_*`` functions also register their
+decoded stream under the view name SQL text can use: ``planes``, ``flights`` or ``foobar``.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skytally.functions import measures as M
 from skytally.functions.aircraft import is_military, register_functions
-from skytally.operators.decode import decode_aircraft, decode_flights, decode_nested
+from skytally.operators.decode import decode_aircraft, decode_flights, decode_nested, rejects
 from skytally.operators.windows import hop, tumble
 from skytally.schemas import NESTED_COLUMNS, PLANES_COLUMNS
 from skytally.session import apply_conf
@@ -129,7 +130,8 @@ def run_planes(
     apply_conf(spark)
     register_functions(spark)
     source = messages if messages is not None else read_topic_stream(spark, read_topic, properties)
-    planes = register_view(planes_table(source), "planes", PLANES_COLUMNS)
+    planes = planes_table(source)
+    register_view(planes, "planes", time="mytimestamp", delay=delay)
     sinks = writers or [to_topic(write_topic, properties, json_rows), to_console()]
     return start(
         planes_result(planes, delay), f"planes from {read_topic}", checkpoint, sinks,
@@ -152,7 +154,8 @@ def run_flights_hourly(
     """One-hour statistics as comma-joined text to a topic and to the console."""
     apply_conf(spark)
     source = messages if messages is not None else read_topic_stream(spark, read_topic, properties)
-    flights = register_view(decode_flights(source), "flights")
+    flights = decode_flights(source)
+    register_view(flights, "flights", time="mytimestamp", delay=delay)
     sinks = writers or [to_console(), to_topic(write_topic, properties, text_rows)]
     return start(
         flights_hourly_result(flights, delay), "flights hourly", checkpoint, sinks,
@@ -175,7 +178,8 @@ def run_flights_tumbling(
     """Five-second counts: whole rows to the console, key and count as JSON to a topic."""
     apply_conf(spark)
     source = messages if messages is not None else read_topic_stream(spark, read_topic, properties)
-    flights = register_view(decode_flights(source, altitude="string", rowtime="payload"), "flights")
+    flights = decode_flights(source, altitude="string", rowtime="payload")
+    register_view(flights, "flights", time="mytimestamp", delay=delay)
     pairs = to_topic(write_topic, properties, lambda rows: key_count_json(key_count(rows))) if not writers else None
     return start(
         flights_tumbling_result(flights, delay), "flights tumbling", checkpoint,
@@ -197,7 +201,26 @@ def run_nested(
     """Hourly message counts of nested messages: schema and rows to the console."""
     apply_conf(spark)
     source = messages if messages is not None else read_topic_stream(spark, read_topic, properties)
-    foobar = register_view(decode_nested(source), "foobar", NESTED_COLUMNS)
+    foobar = decode_nested(source)
+    register_view(foobar, "foobar", NESTED_COLUMNS, time="mytimestamp", delay=delay)
     result = nested_result(foobar, delay)
     result.printSchema()
     return start(result, "nested hourly", checkpoint, writers or [to_console()], interval=interval, **options)
+
+
+def run_rejects(
+    spark: SparkSession,
+    read_topic: str,
+    key: str,
+    properties: Mapping[str, str],
+    checkpoint: str,
+    writers: list[Writer],
+    interval: timedelta = SLIDE,
+    messages: DataFrame | None = None,
+    **options,
+) -> StreamingQuery:
+    """The messages of a topic that the other jobs find no ``key`` in, with the reason."""
+    source = messages if messages is not None else read_topic_stream(spark, read_topic, properties)
+    return start(
+        rejects(source, key), f"rejects of {read_topic}", checkpoint, writers, interval=interval, **options
+    )

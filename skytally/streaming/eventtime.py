@@ -16,12 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def has_watermark(rows: DataFrame, time: str) -> bool:
+    """Whether a stream's column carries a watermark, which Spark notes in the column's metadata."""
+    return rows.isStreaming and "spark.watermarkDelayMs" in rows.schema[time].metadata
+
+
 def with_watermark(rows: DataFrame, time: str, delay: timedelta) -> DataFrame:
-    """Bound lateness on a stream; a batch is returned as it is.
+    """Bound lateness on a stream; a batch, or a stream bounded already, is returned as it is.
 
     Watermarks only take zoned timestamps, so a zoneless column is cast first.
     """
-    if not rows.isStreaming:
+    if not rows.isStreaming or has_watermark(rows, time):
         return rows
     if isinstance(rows.schema[time].dataType, T.TimestampNTZType):
         rows = rows.withColumn(time, F.col(f"`{time}`").cast("timestamp"))

@@ -196,6 +196,31 @@ def test_tumbling_and_nested_jobs(spark, capsys):
     assert "mycount: long" in capsys.readouterr().out
 
 
+def test_rejects_job(spark):
+    folder, out = work_dir(spark, "mixed"), work_dir(spark, "rejects")
+    texts = ['{"icao":"A"}', "nope", '{"flight":"F"}', '{"icao":null}']
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    df.withColumn("timestamp", F.timestamp_seconds(F.lit(START))).write.parquet(folder)
+    stream = read_recorded(spark, folder, stream=True, schema=MESSAGE)
+    jobs.run_rejects(
+        spark, "planes", "icao", {}, f"{out}/c", [to_parquet(f"{out}/rows")], messages=stream, bounded=True
+    ).awaitTermination()
+    got = {r.value: r.reason for r in spark.read.parquet(f"{out}/rows").collect()}
+    assert got == {texts[1]: "malformed", texts[2]: "missing_key", texts[3]: "missing_key"}
+
+
+def test_input_with_a_watermark(spark):
+    stream, _ = recorded(spark, FILES)
+    marked = stream.withWatermark("t", "30 seconds")
+    for compute in (
+        lambda s: hop(s, "t", 15 * SECOND, 5 * SECOND, ["icao"], MEASURES, strategy="window"),
+        lambda s: tumble(s, "t", 5 * SECOND, ["icao"], MEASURES),
+    ):
+        assert rows(run(spark, compute(stream))[0]) == rows(run(spark, compute(marked))[0])
+    with pytest.raises(ValueError, match="watermark"):
+        hop(marked, "t", 3600 * SECOND, 5 * SECOND, ["icao"], MEASURES)
+
+
 def test_sql_over_a_streaming_view(spark):
     batch, folder = messages_file(spark)
     stream = read_recorded(spark, folder, stream=True, schema=MESSAGE)
