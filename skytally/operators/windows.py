@@ -6,8 +6,9 @@ the windows share work decides the cost. Five ways to compute the same rows:
 
 ``window``   Spark's own sliding window: every row is copied once per window before the aggregate.
 ``explode``  the same copies, made by a generator; works on streams and scales to many windows.
-``combine``  rows are combined per pane within their input task, then copied like ``explode``: the
-             way for long windows on streams, where the panes cannot be an aggregate of their own.
+``combine``  rows are combined per pane within their input task, panes with windows in common are
+             brought together, then copied like ``explode``: the way for long windows on streams,
+             where the panes cannot be an aggregate of their own.
 ``panes``    aggregate per slide-long pane first, then copy the pane rows.
 ``runs``     aggregate per pane, then find, per key and window-sized block, the stretches of window
              starts whose contents do not change, and write each stretch out. A pane row crosses
@@ -30,10 +31,8 @@ from skytally.streaming.eventtime import has_watermark, with_watermark
 
 STRATEGIES = ("window", "explode", "combine", "panes", "runs")
 BATCH_ONLY = ("panes", "runs")
-# On streams: Spark's own sliding window up to this many windows per row, then plain copies up to
-# the second limit.
+# Streams use Spark's own sliding window up to this many windows per row.
 STREAM_WINDOW_LIMIT = 12
-STREAM_EXPLODE_LIMIT = 120
 DEFAULT_DELAY = timedelta(seconds=30)
 
 
@@ -137,9 +136,7 @@ def _pick(rows: DataFrame, size: timedelta, slide: timedelta) -> str:
         return "window"
     if not rows.isStreaming:
         return "runs"
-    if size // slide <= STREAM_WINDOW_LIMIT:
-        return "window"
-    return "explode" if size // slide <= STREAM_EXPLODE_LIMIT else "combine"
+    return "window" if size // slide <= STREAM_WINDOW_LIMIT else "combine"
 
 
 def _check_zone(rows: DataFrame, time: str) -> bool:
@@ -181,6 +178,10 @@ def _by_explode(rows, time, size, slide, keys, measures, bounds, delay, early) -
     placed = rows.select(*_named(list(used)), pane_end)
     if early:
         placed = combine_in_tasks(placed, [*keys, "__pane_end"], parts)
+        # Panes with windows in common meet in one task, which merges the copies before they are
+        # shuffled; and the copying is as wide as the shuffle, not as the input's partitions.
+        block = F.call_function("div", F.unix_micros(F.col("__pane_end").cast("timestamp")), _us(size))
+        placed = placed.repartition(*_named(keys), block)
     step = F.expr(f"INTERVAL '{micros(slide) / 1e6:.6f}' SECOND")
     ends = F.transform(
         F.sequence(F.lit(0), F.lit(size // slide - 1)), lambda k: F.col("__pane_end") + k * step
