@@ -36,18 +36,21 @@ def _or_blank(text: Column, number: Column, zero: Column, blank: str, present: C
 
 
 def _whole_number(text: Column, sql_type: str, blank: str, present: Column | None) -> Column:
-    trimmed = F.trim(text)
-    as_double = trimmed.try_cast("double")
+    as_double = text.try_cast("double")
     # floor and ceiling of a double are BIGINT, clamp at its ends and turn NaN into 0
-    cut = F.when(F.startswith(trimmed, F.lit("-")), F.ceil(as_double)).otherwise(F.floor(as_double))
+    cut = F.when(F.startswith(F.ltrim(text), F.lit("-")), F.ceil(as_double)).otherwise(F.floor(as_double))
     if sql_type == "int":
         clamped = F.least(F.greatest(cut, F.lit(INT_MIN)), F.lit(INT_MAX)).cast("int")
         cut = F.when(as_double.isNotNull(), clamped)
-    # plain digits never go through a double, which would round long values
-    plain = trimmed.rlike("^[+-]?[0-9]+$")
+    # plain digits never go through a double, which would round long values; the cast trims
+    plain = text.rlike(r"^\s*[+-]?[0-9]+\s*$")
+    number = F.coalesce(text.try_cast(sql_type), F.when(~plain, cut))
+    return _or_blank(text, _unless_blank(text, number), F.lit(0).cast(sql_type), blank, present)
+
+
+def _unless_blank(text: Column, number: Column) -> Column:
     # blank text is common and a failed parse as a double costs an exception: test for it first
-    number = F.when(trimmed != "", F.coalesce(trimmed.try_cast(sql_type), F.when(~plain, cut)))
-    return _or_blank(text, number, F.lit(0).cast(sql_type), blank, present)
+    return F.when(F.trim(text) != "", number)
 
 
 def lenient_int(text: Column, blank: str = "zero", present: Column | None = None) -> Column:
@@ -59,6 +62,5 @@ def lenient_long(text: Column, blank: str = "zero", present: Column | None = Non
 
 
 def lenient_double(text: Column, blank: str = "zero", present: Column | None = None) -> Column:
-    trimmed = F.trim(text)
-    number = F.when(trimmed != "", trimmed.try_cast("double"))
+    number = _unless_blank(text, text.try_cast("double"))
     return _or_blank(text, number, F.lit(0.0), blank, present)
