@@ -19,6 +19,7 @@ from skytally.functions.casts import lenient_double, lenient_int, lenient_long
 from skytally.operators.decode import decode_aircraft, decode_flights, decode_nested, json_text, rejects
 from skytally.operators.windows import hop, tumble
 from skytally.plans import jobs
+from skytally.schemas import NESTED_COLUMNS
 from skytally.session import work_dir
 from skytally.sinks.encode import json_rows, key_count, key_count_json, text_rows
 from skytally.sinks.write import to_parquet
@@ -74,6 +75,28 @@ def _zoneless(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
+def _totals(hops: DataFrame, key: str, count: str, *others: str) -> DataFrame:
+    """One row per key out of all its windows, sensitive to what lies in which window."""
+    second = F.unix_seconds(F.col("hopStart").cast("timestamp")) % 86400
+    return hops.groupBy(key).agg(
+        F.count("*").alias("windows"),
+        F.min("hopStart").alias("firstStart"),
+        F.max("hopEnd").alias("lastEnd"),
+        F.sum(F.col(count) * second).alias("weighted"),
+        *[F.sum(F.col(c) * (second % 1009)).alias(f"weighted_{c}") for c in others],
+    )
+
+
+def _totals_sql(hops: str, key: str, count: str, *others: str) -> str:
+    second = "(cast(epoch(hopStart) AS bigint) % 86400)"
+    sums = [f", cast(sum({c} * ({second} % 1009)) AS bigint) AS weighted_{c}" for c in others]
+    return f"""SELECT {key}, count(*) AS windows, min(hopStart) AS firstStart, max(hopEnd) AS lastEnd,
+    cast(sum({count} * {second}) AS bigint) AS weighted {' '.join(sums)} FROM ({hops}) GROUP BY {key}"""
+
+
+_ALTITUDE_COLUMNS = ("avgAltitude", "maxAltitude", "minAltitude")
+
+
 # --- projection, filter, decoding ----------------------------------------------------------------
 
 
@@ -268,34 +291,38 @@ def q_tumble_stats_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tumble(keyed, "mytimestamp", jobs.SLIDE, ["icao"], [jobs.PINGS, *jobs.ALTITUDES])
 
 
-# --- jobs end to end, from JSON text -------------------------------------------------------------
+def _flights_view(spark: SparkSession, sf_dir: str) -> None:
+    register_view(_planes(spark, sf_dir), "flights", ["icao", "altitude", "mytimestamp"], "mytimestamp")
 
 
-@check(_HOP5M)
-def q_planes_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.planes_result(jobs.planes_table(_messages(spark, sf_dir)))
+@check(_totals_sql(_HOP1H, "icao", "pings", *_ALTITUDE_COLUMNS))
+def q_hop1h_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _flights_view(spark, sf_dir)
+    return _totals(run_sql(spark, jobs.FLIGHTS_HOURLY_SQL), "icao", "pings", *_ALTITUDE_COLUMNS)
 
 
-def _totals(hops: DataFrame, key: str, count: str, *others: str) -> DataFrame:
-    """One row per key out of all its windows, sensitive to what lies in which window."""
-    second = F.unix_seconds(F.col("hopStart").cast("timestamp")) % 86400
-    return hops.groupBy(key).agg(
-        F.count("*").alias("windows"),
-        F.min("hopStart").alias("firstStart"),
-        F.max("hopEnd").alias("lastEnd"),
-        F.sum(F.col(count) * second).alias("weighted"),
-        *[F.sum(F.col(c) * (second % 1009)).alias(f"weighted_{c}") for c in others],
-    )
+@check(f"""{_WITH_PLANES} SELECT icao, count(icao) AS pings, altitude, {_FIVE_SECONDS} AS windowStart,
+    {_FIVE_SECONDS} + INTERVAL 5 SECOND AS windowEnd FROM planes WHERE {_MEASURED} GROUP BY ALL""")
+def q_tumble_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _flights_view(spark, sf_dir)
+    return run_sql(spark, jobs.FLIGHTS_TUMBLING_SQL)
 
 
-def _totals_sql(hops: str, key: str, count: str, *others: str) -> str:
-    second = "(cast(epoch(hopStart) AS bigint) % 86400)"
-    sums = [f", cast(sum({c} * ({second} % 1009)) AS bigint) AS weighted_{c}" for c in others]
-    return f"""SELECT {key}, count(*) AS windows, min(hopStart) AS firstStart, max(hopEnd) AS lastEnd,
-    cast(sum({count} * {second}) AS bigint) AS weighted {' '.join(sums)} FROM ({hops}) GROUP BY {key}"""
+@check(_totals_sql(_hop_sql("field1", "count(*) AS mycount", 720, f"({_NESTED_SQL})", "true"), "field1", "mycount"))
+def q_nested_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    foobar = decode_nested(X.nested_messages(X.events(spark, sf_dir)))
+    register_view(foobar, "foobar", NESTED_COLUMNS, "mytimestamp")
+    return _totals(run_sql(spark, jobs.NESTED_SQL), "field1", "mycount")
+
+
+# --- jobs end to end, from JSON text -------------------------------------------------------------
+
+
+@check(_HOP5M)
+def q_planes_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.planes_result(jobs.planes_table(_messages(spark, sf_dir)))
 
 
-_ALTITUDE_COLUMNS = ("avgAltitude", "maxAltitude", "minAltitude")
 _HOURLY_JOB = f"""WITH raw AS ({_RAW}), planes AS (SELECT icao, try_cast(altitude_txt AS bigint) AS altitude, mytimestamp
     FROM raw) {_hop_sql('icao', _STATS, 720)}"""
 
@@ -410,10 +437,10 @@ def q_stream_hop1h_count_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _totals(_zoneless(hops, "hopStart", "hopEnd"), "field1", "mycount")
 
 
-# Rows arrive in five batches of six days; some come one or two batches late.
-_ARRIVAL = """least(4, cast(floor((day(ts) - 1) / 6) AS int)
+# Rows arrive in three batches of ten days; some come one or two batches late.
+_ARRIVAL = """least(2, cast(floor((day(ts) - 1) / 10) AS int)
     + CASE WHEN event_id % 17 = 0 THEN 1 WHEN event_id % 19 = 0 THEN 2 ELSE 0 END)"""
-_ARRIVALS = 5
+_ARRIVALS = 3
 _KEPT = f"""{_WITH_PLANES}, arrived AS (
         SELECT p.*, {_ARRIVAL} AS arrival FROM planes p JOIN events e ON p.counter = e.event_id WHERE {_MEASURED}),
     marks AS (SELECT a.arrival, (SELECT max(mytimestamp) - INTERVAL 30 SECOND FROM arrived b

@@ -37,14 +37,22 @@ def _of_one_row(part: Part, dtype: T.DataType) -> Column:
     return column.isNotNull().cast("int").cast(dtype) if part.kind == "count" else column.cast(dtype)
 
 
-def combine_in_tasks(rows: DataFrame, group: Sequence[str], parts: Sequence[Part]) -> DataFrame:
-    """``group`` columns and parts; a group may still come from several tasks, and several times from one."""
+def row_parts(rows: DataFrame, group: Sequence[str], parts: Sequence[Part]) -> DataFrame:
+    """``group`` columns and the parts of each single row."""
     types = part_types(rows, parts)
-    single = rows.select(
+    return rows.select(
         *[F.col(f"`{g}`") for g in group],
         *[_of_one_row(p, types[p.name]).alias(p.name) for p in parts],
     )
-    return single.mapInArrow(_combiner(group, parts, single.schema), single.schema)
+
+
+def combine_in_tasks(partial: DataFrame, group: Sequence[str], parts: Sequence[Part]) -> DataFrame:
+    """Merge rows of parts that one task holds of a group.
+
+    A group still comes once from every task that has rows of it, or more often from a task that holds
+    very many groups.
+    """
+    return partial.mapInArrow(_combiner(group, parts, partial.schema), partial.schema)
 
 
 def _combiner(

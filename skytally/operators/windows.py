@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytally.functions.measures import ALL_ROWS, Measure, check_types, distinct_parts
-from skytally.operators.combine import combine_in_tasks
+from skytally.operators.combine import combine_in_tasks, row_parts
 from skytally.streaming.eventtime import has_watermark, with_watermark
 
 STRATEGIES = ("window", "explode", "combine", "panes", "runs")
@@ -177,11 +177,13 @@ def _by_explode(rows, time, size, slide, keys, measures, bounds, delay, early) -
     used = dict.fromkeys([*keys, *(p.column for p in parts if p != ALL_ROWS)])
     placed = rows.select(*_named(list(used)), pane_end)
     if early:
-        placed = combine_in_tasks(placed, [*keys, "__pane_end"], parts)
+        pane = [*keys, "__pane_end"]
         # Panes with windows in common meet in one task, which merges the copies before they are
-        # shuffled; and the copying is as wide as the shuffle, not as the input's partitions.
+        # shuffled; and the copying is as wide as the shuffle, not as the input's partitions. The
+        # second merge leaves one row of each pane, in however many input tasks the pane had rows.
         block = F.call_function("div", F.unix_micros(F.col("__pane_end").cast("timestamp")), _us(size))
-        placed = placed.repartition(*_named(keys), block)
+        placed = combine_in_tasks(row_parts(placed, pane, parts), pane, parts)
+        placed = combine_in_tasks(placed.repartition(*_named(keys), block), pane, parts)
     step = F.expr(f"INTERVAL '{micros(slide) / 1e6:.6f}' SECOND")
     ends = F.transform(
         F.sequence(F.lit(0), F.lit(size // slide - 1)), lambda k: F.col("__pane_end") + k * step

@@ -52,6 +52,44 @@ WHERE icao IS NOT NULL AND altitude IS NOT NULL
 GROUP BY window(mytimestamp, '5 minutes', '5 seconds'), icao
 """
 
+# The other jobs as SQL text, over the views `flights` and `foobar`. Over long windows Spark's own
+# window() copies every row to each of its windows; these count per five seconds first, bring the
+# counts of a key and hour together and copy those. That takes two aggregates, so it is for tables.
+# The functions below do it on streams too, and shuffle less.
+FLIGHTS_HOURLY_SQL = """
+WITH panes AS (
+  SELECT icao, window.start AS pane, count(icao) AS pings, sum(altitude) AS total,
+         count(altitude) AS known, max(altitude) AS high, min(altitude) AS low
+  FROM flights
+  WHERE icao IS NOT NULL AND altitude IS NOT NULL
+  GROUP BY window(mytimestamp, '5 seconds'), icao
+  DISTRIBUTE BY icao, date_trunc('HOUR', pane))
+SELECT icao, sum(pings) AS pings, hopStart, hopStart + INTERVAL '1' HOUR AS hopEnd,
+       sum(total) DIV sum(known) AS avgAltitude, max(high) AS maxAltitude, min(low) AS minAltitude
+FROM panes
+LATERAL VIEW explode(
+  sequence(pane - INTERVAL '59:55' MINUTE TO SECOND, pane, INTERVAL '5' SECOND)) AS hopStart
+GROUP BY hopStart, icao
+"""
+FLIGHTS_TUMBLING_SQL = """
+SELECT icao, count(icao) AS pings, altitude, window.start AS windowStart, window.end AS windowEnd
+FROM flights
+WHERE icao IS NOT NULL AND altitude IS NOT NULL
+GROUP BY window(mytimestamp, '5 seconds'), icao, altitude
+"""
+NESTED_SQL = """
+WITH panes AS (
+  SELECT field1, window.start AS pane, count(*) AS mycount
+  FROM foobar
+  GROUP BY window(mytimestamp, '5 seconds'), field1
+  DISTRIBUTE BY field1, date_trunc('HOUR', pane))
+SELECT sum(mycount) AS mycount, field1, hopStart, hopStart + INTERVAL '1' HOUR AS hopEnd
+FROM panes
+LATERAL VIEW explode(
+  sequence(pane - INTERVAL '59:55' MINUTE TO SECOND, pane, INTERVAL '5' SECOND)) AS hopStart
+GROUP BY hopStart, field1
+"""
+
 
 def measured(rows: DataFrame) -> DataFrame:
     """Rows that have both a key and an altitude."""

@@ -1,0 +1,51 @@
+from pyspark.sql import functions as F
+
+from skytally.functions import measures as M
+from skytally.operators import combine
+from skytally.operators.combine import combine_in_tasks, part_types, row_parts
+from tests.helpers import rows
+
+PARTS = M.distinct_parts([M.count("v", "n"), M.mean("v", "m"), M.smallest("v", "lo"), M.largest("v", "hi")])
+
+
+def table(spark):
+    value = F.when(F.col("id") % 5 > 0, (F.col("id") * 7 % 31).cast("int"))
+    return spark.range(0, 4000, 1, 8).select((F.col("id") % 3).alias("k"), value.alias("v"))
+
+
+def test_one_row_per_task_then_one_per_group(spark):
+    df = table(spark)
+    once = combine_in_tasks(row_parts(df, ["k"], PARTS), ["k"], PARTS)
+    assert once.count() == 8 * 3
+    twice = combine_in_tasks(once.repartition(4, "k"), ["k"], PARTS)
+    assert twice.count() == 3
+    expected = df.groupBy("k").agg(*[p.over_rows().alias(p.name) for p in PARTS])
+    assert rows(twice) == rows(expected) and twice.dtypes == expected.dtypes
+
+
+def test_many_groups_are_passed_on_early(spark, monkeypatch):
+    monkeypatch.setattr(combine, "HELD_GROUPS", 10)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)
+    try:
+        df = table(spark).withColumn("k", F.monotonically_increasing_id() % 100)
+        parts = combine_in_tasks(row_parts(df, ["k"], PARTS), ["k"], PARTS)
+        assert parts.count() > 100
+        merged = parts.groupBy("k").agg(*[p.over_parts(F.col(p.name)).alias(p.name) for p in PARTS])
+        assert merged.agg(F.sum("__rows")).first()[0] == 4000
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_empty_input_and_null_keys(spark):
+    empty = table(spark).where("k > 5")
+    assert combine_in_tasks(row_parts(empty, ["k"], PARTS), ["k"], PARTS).count() == 0
+    nulls = spark.createDataFrame([(None, 1), (None, 2), ("a", None)], "k string, v int").coalesce(1)
+    got = combine_in_tasks(row_parts(nulls, ["k"], PARTS), ["k"], PARTS)
+    assert rows(got) == rows(nulls.groupBy("k").agg(*[p.over_rows().alias(p.name) for p in PARTS]))
+
+
+def test_types_are_those_of_the_aggregates(spark):
+    types = part_types(table(spark), PARTS)
+    assert {n: t.simpleString() for n, t in types.items()} == {
+        "__rows": "bigint", "__count_v": "bigint", "__sum_v": "bigint", "__min_v": "int", "__max_v": "int",
+    }
