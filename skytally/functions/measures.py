@@ -51,10 +51,12 @@ ALL_ROWS = Part("count", ROWS)
 @dataclass(frozen=True)
 class Measure:
     alias: str
-    kind: str  # count | sum | min | max | mean | whole_mean
+    kind: str  # count | sum | min | max | mean | whole_mean | key_count
     column: str
 
     def parts(self) -> list[Part]:
+        if self.kind == "key_count":
+            return [ALL_ROWS]
         if self.kind in ("mean", "whole_mean"):
             return [Part("sum", self.column), Part("count", self.column)]
         return [Part(self.kind, self.column)]
@@ -66,6 +68,8 @@ class Measure:
             got = [got[0].cast("double") / F.nullif(got[1], F.lit(0))]
         elif self.kind == "whole_mean":
             got = [F.call_function("div", got[0], F.nullif(got[1], F.lit(0)))]
+        elif self.kind == "key_count":
+            got = [F.when(F.col(f"`{self.column}`").isNotNull(), got[0]).otherwise(F.lit(0).cast("bigint"))]
         return got[0].alias(self.alias)
 
 
@@ -98,6 +102,14 @@ def mean(column: str, alias: str, mode: str = "whole") -> Measure:
     return Measure(alias, kinds[mode], column)
 
 
+def for_keys(measures: Iterable[Measure], keys: Iterable[str]) -> list[Measure]:
+    """The same measures, with counts of a grouping key taken from the row count."""
+    return [
+        Measure(m.alias, "key_count", m.column) if m.kind == "count" and m.column in keys else m
+        for m in measures
+    ]
+
+
 def check_types(measures: Iterable[Measure], schema: T.StructType) -> None:
     for m in measures:
         if m.kind == "whole_mean" and not isinstance(schema[m.column].dataType, INTEGRAL):

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.functions.measures import ALL_ROWS, Measure, check_types, distinct_parts
+from skytally.functions.measures import ALL_ROWS, Measure, check_types, distinct_parts, for_keys
 from skytally.operators.combine import combine_in_tasks, row_parts
 from skytally.streaming.eventtime import has_watermark, with_watermark
 
@@ -66,6 +66,7 @@ def tumble(
     On a stream, ``delay`` is how long a window stays open for late rows.
     """
     check_types(measures, rows.schema)
+    measures = for_keys(measures, keys)
     grouped = with_watermark(rows, time, delay).groupBy(
         F.window(f"`{time}`", duration(size)).alias("__window"), *_named(keys)
     )
@@ -97,6 +98,7 @@ def hop(
     rows and merge them into a few tasks that each expand into a huge result.
     """
     check_types(measures, rows.schema)
+    measures = for_keys(measures, keys)
     if strategy == "auto":
         strategy = _pick(rows, size, slide)
     if strategy not in STRATEGIES:

@@ -89,6 +89,18 @@ def test_strategies_keep_the_time_type_and_several_keys(spark, strategy):
     assert rows(got) == rows(expected)
 
 
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_counts_of_keys(spark, strategy):
+    """A null key has windows, but none of its rows counts."""
+    df = table(spark, random_rows(4, 80, 40_000_000, 5_000_000))
+    measures = [M.count("k", "keys"), M.count_rows("all")]
+    got = hop(df, "t", 15 * SECOND, 5 * SECOND, ["k"], measures, strategy=strategy)
+    assert got.where("k IS NULL AND keys = 0 AND all > 0").count() > 0
+    assert got.where("k IS NULL AND keys != 0 OR k IS NOT NULL AND keys != all").count() == 0
+    flat = tumble(df, "t", 5 * SECOND, ["k"], measures)
+    assert flat.where("k IS NULL AND keys != 0 OR k IS NOT NULL AND keys != all").count() == 0
+
+
 def test_rows_without_time_are_in_no_window(spark):
     df = spark.createDataFrame([("a", None, 1)], "k string, t timestamp, v int")
     for strategy in STRATEGIES:
