@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Properties that are not passed on. Spark refuses the offset rule (it has
 # startingOffsets), the group is replaced by the checkpoint, and the topics are arguments of ours.
-NOT_PASSED = ("auto.offset.reset", "group.id", "flink.starting-position", "read-topic", "write-topic")
+NOT_PASSED = ("auto.offset.reset", "group.id", "read-topic", "write-topic")
 
 
 def client_options(properties: Mapping[str, str]) -> dict[str, str]:

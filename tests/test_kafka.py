@@ -6,7 +6,7 @@ from skytally.sources.kafka import reader_options, writer_options
 
 PROPERTIES = {
     "bootstrap.servers": "b:9092", "group.id": "g", "auto.offset.reset": "earliest", "read-topic": "in",
-    "write-topic": "out", "flink.starting-position": "earliest", "security.protocol": "SSL",
+    "write-topic": "out", "security.protocol": "SSL",
 }
 
 
