@@ -5,7 +5,8 @@ import pytest
 
 import __spark_entry__ as entry
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = {name: entry.queries()[name] for name in entry.checks.CHECKS}
+ORACLE = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 def test_every_query_has_sql():
