@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skytally.llm import toxicity
+from skytally.llm import chat, fingerprint, lm, mixing, pii, topk, toxicity
 from skytally.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,3 +24,33 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 @query()
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op9(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op1(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.op10(table(spark, sf_dir, "documents"))
+
+
+@query(chat.SQL)
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op4(table(spark, sf_dir, "conversations"))
+
+
+@query(topk.SQL)
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.op8(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op3_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.op3(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op7(table(spark, sf_dir, "documents"))

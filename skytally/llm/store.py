@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from skytally.session import work_dir
 
-#: Rows of one Arrow batch: a batch of long texts must fit a Python worker several times over.
-BATCH_ROWS = 512
+#: Rows and bytes of one Arrow batch: a batch of long texts must fit a Python worker several times over.
+BATCH_ROWS = 2048
+BATCH_BYTES = "16m"
 
 
 def configured(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 
