@@ -267,7 +267,7 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
     apart = F.aggregate(
         "__spans", F.expr("cast(array() AS array<struct<start:int,kind:int,end:int>>)"),
-        lambda out, s: F.when(F.coalesce(F.element_at(F.slice(out, -1, 1), 1)["end"], F.lit(0)) > s["start"], out).otherwise(F.concat(out, F.array(s))),
+        lambda out, s: F.when(F.coalesce(F.try_element_at(out, F.lit(-1))["end"], F.lit(0)) > s["start"], out).otherwise(F.concat(out, F.array(s))),
     )
     found = found.withColumn("__spans", F.when(F.size("__spans") > 1, apart).otherwise(F.col("__spans")))
     source = F.col(text)

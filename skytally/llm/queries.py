@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skytally.llm import chat, fingerprint, lm, mixing, pii, topk, toxicity
+from skytally.llm import chat, fingerprint, licenses, lm, mixing, ngram_join, pieces, pii, topk, toxicity
 from skytally.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,18 @@ def op3_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.op7(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.op2(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.op6(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.op5(table(spark, sf_dir, "pages"))
