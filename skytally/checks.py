@@ -19,10 +19,9 @@ from skytally.functions.casts import lenient_double, lenient_int, lenient_long
 from skytally.operators.decode import decode_aircraft, decode_flights, decode_nested, json_text, rejects
 from skytally.operators.windows import hop, tumble
 from skytally.plans import jobs
-from skytally.schemas import NESTED_COLUMNS
 from skytally.session import work_dir
 from skytally.sinks.encode import json_rows, key_count, key_count_json, text_rows
-from skytally.sinks.write import to_parquet
+from skytally.sinks.write import to_console, to_parquet, to_text
 from skytally.sources.files import read_recorded
 from skytally.sources.views import register_view, run_sql
 from skytally.streaming.eventtime import payload_time
@@ -75,28 +74,6 @@ def _zoneless(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
-def _totals(hops: DataFrame, key: str, count: str, *others: str) -> DataFrame:
-    """One row per key out of all its windows, sensitive to what lies in which window."""
-    second = F.unix_seconds(F.col("hopStart").cast("timestamp")) % 86400
-    return hops.groupBy(key).agg(
-        F.count("*").alias("windows"),
-        F.min("hopStart").alias("firstStart"),
-        F.max("hopEnd").alias("lastEnd"),
-        F.sum(F.col(count) * second).alias("weighted"),
-        *[F.sum(F.col(c) * (second % 1009)).alias(f"weighted_{c}") for c in others],
-    )
-
-
-def _totals_sql(hops: str, key: str, count: str, *others: str) -> str:
-    second = "(cast(epoch(hopStart) AS bigint) % 86400)"
-    sums = [f", cast(sum({c} * ({second} % 1009)) AS bigint) AS weighted_{c}" for c in others]
-    return f"""SELECT {key}, count(*) AS windows, min(hopStart) AS firstStart, max(hopEnd) AS lastEnd,
-    cast(sum({count} * {second}) AS bigint) AS weighted {' '.join(sums)} FROM ({hops}) GROUP BY {key}"""
-
-
-_ALTITUDE_COLUMNS = ("avgAltitude", "maxAltitude", "minAltitude")
-
-
 # --- projection, filter, decoding ----------------------------------------------------------------
 
 
@@ -113,7 +90,8 @@ def q_star_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _AIRCRAFT_SQL = f"""SELECT icao, CASE WHEN msg_type = 1 THEN concat('FL', counter) END AS flight,
     strftime(mytimestamp, '%Y-%m-%d %H:%M:%S.%f') AS timestamp_verbose, msg_type,
-    cast(NULL AS int) AS track, cast(floor(epoch(mytimestamp)) AS bigint) AS "timestamp",
+    cast(NULL AS int) AS track, cast(NULL AS varchar) AS equipment, cast(NULL AS varchar) AS tail,
+    mytimestamp AS record_time, cast(floor(epoch(mytimestamp)) AS bigint) AS "timestamp",
     CASE WHEN msg_type IN (3, 5, 7) THEN coalesce(try_cast(altitude_txt AS int), 0) END AS altitude,
     counter,
     CASE WHEN msg_type = 3 THEN cast(concat('-97.', counter % 1000) AS double) END AS lon,
@@ -124,16 +102,16 @@ _AIRCRAFT_SQL = f"""SELECT icao, CASE WHEN msg_type = 1 THEN concat('FL', counte
 
 @check(f"SELECT * FROM ({_AIRCRAFT_SQL})")
 def q_decode_by_msg_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_aircraft(_messages(spark, sf_dir)).drop("equipment", "tail", "record_time")
+    return decode_aircraft(_messages(spark, sf_dir))
 
 
 @check(f"""SELECT icao, concat('FL', counter) AS flight, cast(msg_type AS varchar) AS msg_type,
     date_trunc('second', mytimestamp) AS "timestamp", try_cast(altitude_txt AS bigint) AS altitude,
     cast(counter AS varchar) AS counter, concat('-97.', counter % 1000) AS lon, concat(counter % 90, '.5') AS lat,
-    '' AS vr, '' AS track, CASE WHEN counter % 3 = 0 THEN '' ELSE cast(counter % 500 AS varchar) END AS speed,
+    '' AS vr, '' AS track, strftime(mytimestamp, '%Y-%m-%d %H:%M:%S.%f') AS timestamp_verbose, CASE WHEN counter % 3 = 0 THEN '' ELSE cast(counter % 500 AS varchar) END AS speed,
     mytimestamp FROM ({_RAW})""")
 def q_decode_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flights = decode_flights(_messages(spark, sf_dir)).drop("timestamp_verbose")
+    flights = decode_flights(_messages(spark, sf_dir))
     return _zoneless(flights, "timestamp")
 
 
@@ -155,6 +133,19 @@ def q_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects(broken, "icao").select("counter", "reason")
 
 
+@check(f"""SELECT counter, CASE WHEN counter % 7 = 0 THEN NULL ELSE icao END AS icao,
+    CASE WHEN msg_type = 1 AND counter % 5 <> 0 THEN concat('FL', counter) END AS flight,
+    CASE WHEN counter % 3 <> 0 THEN strftime(mytimestamp, '%Y-%m-%d %H:%M:%S.%f') END AS timestamp_verbose,
+    counter % 7 = 0 OR icao IS NULL AS rejected FROM ({_RAW})""")
+def q_text_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, booleans and objects in text fields are null, and such keys are rejected."""
+    odd = X.odd_text_messages(X.events(spark, sf_dir))
+    decoded = decode_aircraft(odd).select("counter", "icao", "flight", "timestamp_verbose")
+    rejected = rejects(odd, "icao").select(F.get_json_object("value", "$.counter").cast("bigint").alias("c"))
+    joined = decoded.join(rejected, F.col("counter") == F.col("c"), "left")
+    return joined.withColumn("rejected", F.col("c").isNotNull()).drop("c")
+
+
 _TEXTS = ("digits", "padded", "decimal_text", "too_long", "scientific", "words")
 
 
@@ -253,7 +244,7 @@ def q_hop5m_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check(_HOP5M)
 def q_hop5m_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     aircraft.register_functions(spark)
-    register_view(_planes(spark, sf_dir), "planes", ["icao", "altitude", "mytimestamp"], "mytimestamp")
+    jobs.register_planes(_planes(spark, sf_dir))
     return run_sql(spark, jobs.PLANES_SQL)
 
 
@@ -291,28 +282,23 @@ def q_tumble_stats_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tumble(keyed, "mytimestamp", jobs.SLIDE, ["icao"], [jobs.PINGS, *jobs.ALTITUDES])
 
 
-def _flights_view(spark: SparkSession, sf_dir: str) -> None:
-    register_view(_planes(spark, sf_dir), "flights", ["icao", "altitude", "mytimestamp"], "mytimestamp")
-
-
-@check(_totals_sql(_HOP1H, "icao", "pings", *_ALTITUDE_COLUMNS))
+@check(_HOP1H)
 def q_hop1h_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _flights_view(spark, sf_dir)
-    return _totals(run_sql(spark, jobs.FLIGHTS_HOURLY_SQL), "icao", "pings", *_ALTITUDE_COLUMNS)
+    jobs.register_flights(_planes(spark, sf_dir))
+    return run_sql(spark, jobs.FLIGHTS_HOURLY_SQL)
 
 
 @check(f"""{_WITH_PLANES} SELECT icao, count(icao) AS pings, altitude, {_FIVE_SECONDS} AS windowStart,
     {_FIVE_SECONDS} + INTERVAL 5 SECOND AS windowEnd FROM planes WHERE {_MEASURED} GROUP BY ALL""")
 def q_tumble_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _flights_view(spark, sf_dir)
+    jobs.register_flights(_planes(spark, sf_dir))
     return run_sql(spark, jobs.FLIGHTS_TUMBLING_SQL)
 
 
-@check(_totals_sql(_hop_sql("field1", "count(*) AS mycount", 720, f"({_NESTED_SQL})", "true"), "field1", "mycount"))
+@check(_hop_sql("field1", "count(*) AS mycount", 720, f"({_NESTED_SQL})", "true"))
 def q_nested_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    foobar = decode_nested(X.nested_messages(X.events(spark, sf_dir)))
-    register_view(foobar, "foobar", NESTED_COLUMNS, "mytimestamp")
-    return _totals(run_sql(spark, jobs.NESTED_SQL), "field1", "mycount")
+    jobs.register_foobar(decode_nested(X.nested_messages(X.events(spark, sf_dir))))
+    return run_sql(spark, jobs.NESTED_SQL)
 
 
 # --- jobs end to end, from JSON text -------------------------------------------------------------
@@ -327,10 +313,9 @@ _HOURLY_JOB = f"""WITH raw AS ({_RAW}), planes AS (SELECT icao, try_cast(altitud
     FROM raw) {_hop_sql('icao', _STATS, 720)}"""
 
 
-@check(_totals_sql(_HOURLY_JOB, "icao", "pings", *_ALTITUDE_COLUMNS))
+@check(_HOURLY_JOB)
 def q_flights_hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hops = jobs.flights_hourly_result(decode_flights(_messages(spark, sf_dir)))
-    return _totals(hops, "icao", "pings", *_ALTITUDE_COLUMNS)
+    return jobs.flights_hourly_result(decode_flights(_messages(spark, sf_dir)))
 
 
 @check(f"""SELECT icao, altitude_txt AS altitude, count(*) AS pings,
@@ -409,17 +394,23 @@ def _collected(
 _CLOSED = f"""(SELECT max(mytimestamp) - INTERVAL 30 SECOND FROM planes WHERE {_MEASURED})"""
 
 
-@check(f"""{_WITH_PLANES}, hops AS ({_hop_sql('icao', _STATS, 60)})
+_HOP5M_CLOSED = f"""{_WITH_PLANES}, hops AS ({_hop_sql('icao', _STATS, 60)})
 SELECT icao, pings, hopStart, hopEnd, avgAltitude, maxAltitude, minAltitude,
-       starts_with(upper(icao), 'AE') AS IsMilitaryPlane FROM hops WHERE hopEnd <= {_CLOSED}""")
+       starts_with(upper(icao), 'AE') AS IsMilitaryPlane FROM hops WHERE hopEnd <= {_CLOSED}"""
+
+
+@check(_HOP5M_CLOSED)
 def q_stream_hop5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = jobs.planes_result(X.planes(_event_stream(spark, sf_dir)), delay=jobs.DELAY)
     return _zoneless(_collected(result, work_dir(spark, "hop5m")), "hopStart", "hopEnd")
 
 
-@check(f"""{_WITH_PLANES}, counts AS (SELECT icao, altitude, {_FIVE_SECONDS} AS windowStart,
+_TUMBLE_CLOSED = f"""{_WITH_PLANES}, counts AS (SELECT icao, altitude, {_FIVE_SECONDS} AS windowStart,
     {_FIVE_SECONDS} + INTERVAL 5 SECOND AS windowEnd, count(icao) AS pings
-    FROM planes WHERE {_MEASURED} GROUP BY ALL) SELECT * FROM counts WHERE windowEnd <= {_CLOSED}""")
+    FROM planes WHERE {_MEASURED} GROUP BY ALL) SELECT * FROM counts WHERE windowEnd <= {_CLOSED}"""
+
+
+@check(_TUMBLE_CLOSED)
 def q_stream_tumble(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = jobs.flights_tumbling_result(X.planes(_event_stream(spark, sf_dir)))
     return _zoneless(_collected(result, work_dir(spark, "tumble")), "windowStart", "windowEnd")
@@ -430,11 +421,65 @@ _NESTED_STREAM = f"""WITH foobar AS ({_NESTED_SQL}), hops AS
     SELECT * FROM hops WHERE hopEnd <= (SELECT max(mytimestamp) - INTERVAL 30 SECOND FROM foobar)"""
 
 
-@check(_totals_sql(_NESTED_STREAM, "field1", "mycount"))
+@check(_NESTED_STREAM)
 def q_stream_hop1h_count_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     foobar = decode_nested(X.nested_messages(_event_stream(spark, sf_dir)))
     hops = _collected(jobs.nested_result(foobar), work_dir(spark, "nested"))
-    return _totals(_zoneless(hops, "hopStart", "hopEnd"), "field1", "mycount")
+    return _zoneless(hops, "hopStart", "hopEnd")
+
+
+@check(_HOP5M_CLOSED.replace("INTERVAL 30 SECOND", "INTERVAL 0 SECOND"))
+def q_stream_hop5m_no_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship's own rule: a watermark without delay. One micro-batch takes all, so none is late."""
+    result = jobs.planes_result(X.planes(_event_stream(spark, sf_dir)))
+    return _zoneless(_collected(result, work_dir(spark, "hop5m-no-delay")), "hopStart", "hopEnd")
+
+
+# The four texts, continuously, over streaming views.
+
+
+@check(_HOP5M_CLOSED)
+def q_stream_sql_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aircraft.register_functions(spark)
+    jobs.register_planes(X.planes(_event_stream(spark, sf_dir)), jobs.DELAY, "planes_live")
+    text = jobs.PLANES_SQL.replace("planes_hop5m", "planes_live_hop5m")
+    return _zoneless(_collected(run_sql(spark, text), work_dir(spark, "sql-planes")), "hopStart", "hopEnd")
+
+
+@check(f"SELECT * FROM ({_HOP1H}) WHERE hopEnd <= ({_WITH_PLANES} SELECT max(mytimestamp) - INTERVAL 30 SECOND FROM planes WHERE {_MEASURED})")
+def q_stream_sql_flights_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs.register_flights(X.planes(_event_stream(spark, sf_dir)), view="flights_live")
+    text = jobs.FLIGHTS_HOURLY_SQL.replace("flights_hop1h", "flights_live_hop1h")
+    return _zoneless(_collected(run_sql(spark, text), work_dir(spark, "sql-hourly")), "hopStart", "hopEnd")
+
+
+@check(_TUMBLE_CLOSED)
+def q_stream_sql_flights_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs.register_flights(jobs.measured(X.planes(_event_stream(spark, sf_dir))), view="flights_counted")
+    text = jobs.FLIGHTS_TUMBLING_SQL.replace("FROM flights", "FROM flights_counted")
+    return _zoneless(_collected(run_sql(spark, text), work_dir(spark, "sql-tumbling")), "windowStart", "windowEnd")
+
+
+@check(_NESTED_STREAM)
+def q_stream_sql_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs.register_foobar(decode_nested(X.nested_messages(_event_stream(spark, sf_dir))), view="foobar_live")
+    text = jobs.NESTED_SQL.replace("foobar_hop1h", "foobar_live_hop1h")
+    return _zoneless(_collected(run_sql(spark, text), work_dir(spark, "sql-nested")), "hopStart", "hopEnd")
+
+
+@check(f"""SELECT sink, value FROM (SELECT '{{"icao":"' || icao || '","count":"' || pings || '"}}' AS pair,
+    icao || ',' || pings || ',' || altitude || ',' || strftime(windowStart, {_JAVA_TIME}) || ',' ||
+    strftime(windowEnd, {_JAVA_TIME}) AS line FROM ({_TUMBLE_CLOSED})),
+    LATERAL (VALUES ('text', line), ('pairs', pair)) t(sink, value)""")
+def q_stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stream to the console and two topic-shaped sinks; the rows of those, read back."""
+    folder = work_dir(spark, "fan-out")
+    result = jobs.flights_tumbling_result(X.planes(_event_stream(spark, sf_dir)))
+    pairs = to_text(f"{folder}/pairs", lambda rows: key_count_json(key_count(rows)))
+    writers = [to_console(lambda line: None), to_text(f"{folder}/text", text_rows), pairs]
+    start(result, folder.rsplit("/", 1)[-1], f"{folder}/checkpoint", writers, bounded=True).awaitTermination()
+    sinks = [spark.read.text(f"{folder}/{s}").select(F.lit(s).alias("sink"), "value") for s in ("text", "pairs")]
+    return sinks[0].union(sinks[1])
 
 
 # Rows arrive in three batches of ten days; some come one or two batches late.

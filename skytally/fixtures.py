@@ -95,6 +95,19 @@ def broken_messages(rows: DataFrame) -> DataFrame:
     return messages(rows).select(counter.alias("counter"), open_end.alias("value"), "timestamp")
 
 
+def odd_text_messages(rows: DataFrame) -> DataFrame:
+    """The same with numbers, booleans and objects in place of some strings."""
+    counter = F.get_json_object("value", "$.counter").cast("bigint")
+
+    def odd(text, field: str, every: int, instead: str):  # noqa: ANN001, ANN202
+        other = F.regexp_replace(text, rf'"{field}":"[^"]*"', f'"{field}":{instead}')
+        return F.when(counter % every == 0, other).otherwise(text)
+
+    text = odd(F.col("value"), "icao", 7, "123")
+    text = odd(odd(text, "flight", 5, "true"), "timestamp_verbose", 3, '{"a":1}')
+    return messages(rows).withColumn("value", text)
+
+
 def nested_messages(rows: DataFrame) -> DataFrame:
     text = F.to_json(
         F.struct(

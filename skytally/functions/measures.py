@@ -20,7 +20,7 @@ INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 @dataclass(frozen=True)
 class Part:
-    kind: str  # count | sum | min | max
+    kind: str  # count | sum | wide_sum | min | max
     column: str
 
     @property
@@ -30,11 +30,13 @@ class Part:
     def over_rows(self) -> Column:
         """Aggregate of raw rows."""
         source = F.lit(1) if self.column == ROWS else F.col(f"`{self.column}`")
+        if self.kind == "wide_sum":
+            return F.sum(source.cast("decimal(20,0)"))
         return getattr(F, self.kind)(source)
 
     def over_parts(self, partial: Column) -> Column:
         """Aggregate of partial results, usable as a grouped or a windowed aggregate."""
-        return F.sum(partial) if self.kind in ("count", "sum") else getattr(F, self.kind)(partial)
+        return getattr(F, self.kind)(partial) if self.kind in ("min", "max") else F.sum(partial)
 
     def merge(self, left: Column, right: Column) -> Column:
         """Two partial results, either of which may be null for an empty slice."""
@@ -51,12 +53,14 @@ ALL_ROWS = Part("count", ROWS)
 @dataclass(frozen=True)
 class Measure:
     alias: str
-    kind: str  # count | sum | min | max | mean | whole_mean | key_count
+    kind: str  # count | sum | min | max | mean | long_mean | whole_mean | key_count
     column: str
 
     def parts(self) -> list[Part]:
         if self.kind == "key_count":
             return [ALL_ROWS]
+        if self.kind == "long_mean":
+            return [Part("wide_sum", self.column), Part("count", self.column)]
         if self.kind in ("mean", "whole_mean"):
             return [Part("sum", self.column), Part("count", self.column)]
         return [Part(self.kind, self.column)]
@@ -64,7 +68,7 @@ class Measure:
     def value(self, part: Callable[[Part], Column]) -> Column:
         """The finished measure, given how to obtain each part."""
         got = [part(p) for p in self.parts()]
-        if self.kind == "mean":
+        if self.kind in ("mean", "long_mean"):
             got = [got[0].cast("double") / F.nullif(got[1], F.lit(0))]
         elif self.kind == "whole_mean":
             got = [F.call_function("div", got[0], F.nullif(got[1], F.lit(0)))]
@@ -110,6 +114,16 @@ def for_keys(measures: Iterable[Measure], keys: Iterable[str]) -> list[Measure]:
     ]
 
 
+def for_types(measures: Iterable[Measure], schema: T.StructType) -> list[Measure]:
+    """The same measures; a plain average of BIGINTs adds up decimals, whose sum cannot overflow."""
+    return [
+        Measure(m.alias, "long_mean", m.column)
+        if m.kind == "mean" and isinstance(schema[m.column].dataType, T.LongType)
+        else m
+        for m in measures
+    ]
+
+
 def check_types(measures: Iterable[Measure], schema: T.StructType) -> None:
     for m in measures:
         if m.kind == "whole_mean" and not isinstance(schema[m.column].dataType, INTEGRAL):

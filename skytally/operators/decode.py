@@ -7,8 +7,9 @@ key, yields a null key here and shows up in :func:`rejects` with a reason.
 The parse is a generator on purpose. Filters on decoded columns stop at it; with a plain parsing
 expression they would be pushed below the projection and parse every message a second time.
 
-Numbers and booleans in a text field come out as their JSON text. A JSON null in a numeric field
-counts as blank; a field the message does not have is null.
+Text fields of aircraft records are null unless the message has a string there; the declared and the
+nested table take the text of any scalar. A JSON null in a numeric field counts as blank; a field the
+message does not have is null.
 """
 
 from __future__ import annotations
@@ -33,40 +34,59 @@ def _fields(value: str, names: tuple[str, ...]) -> Column:
     return F.json_tuple(F.col(f"`{value}`"), *names).alias(*[f"__{n}" for n in names])
 
 
+def _parsed(messages: DataFrame, value: str) -> DataFrame:
+    """``messages`` with the parsed text as the variant ``__message``; null if it is no JSON."""
+    return messages.select("*", F.explode(F.array(F.try_parse_json(F.col(f"`{value}`")))).alias("__message"))
+
+
+def _member(field: str) -> Column:
+    return F.try_variant_get(F.col("__message"), f"$.{field}", "variant")
+
+
+def _string(field: str) -> Column:
+    """A member that is a JSON string; null for any other value."""
+    return F.when(F.schema_of_variant(_member(field)) == "STRING", F.try_variant_get("__message", f"$.{field}", "string"))
+
+
 def decode_aircraft(messages: DataFrame, value: str = "value", blank: str = "zero") -> DataFrame:
     """Aircraft records whose measurements depend on the message type.
 
     Type 1 sets the flight; 3 altitude and position; 4 speed; 5 and 7 altitude; others none. Blank
-    text in a measurement its type does set becomes 0 (or null with ``blank="null"``). The other
-    columns of ``messages`` follow; the record time ``timestamp`` among them as ``record_time``.
+    text in a measurement its type does set becomes 0 (or null with ``blank="null"``). Text fields
+    take JSON strings only and are null for other values. The other columns of ``messages`` follow;
+    the record time ``timestamp`` among them as ``record_time``.
+
+    Each message is parsed once and each field cast once: the cast fields are one array element of a
+    generator, which filters on them do not cross.
     """
-    wanted = ("icao", "flight", "timestamp_verbose", "msg_type", "timestamp", "altitude", "counter",
-              "lon", "lat", "speed")
     carried = {c: "record_time" if c == "timestamp" else c for c in messages.columns if c != value}
 
     def number(field: str, cast: Callable[..., Column]) -> Column:
-        # looked at only where the text gives no number: a JSON null is blank, a missing field null
-        there = F.array_contains(F.json_object_keys(F.col(f"`{value}`")), field)
-        return cast(F.col(f"__{field}"), blank, there)
-
-    typed = messages.select("*", _fields(value, wanted)).withColumn("__type", number("msg_type", lenient_int))
-    kind = F.col("__type")
-    return typed.select(
-        F.col("__icao").alias("icao"),
-        F.when(kind.isin(*FLIGHT_TYPES), F.col("__flight")).alias("flight"),
-        F.col("__timestamp_verbose").alias("timestamp_verbose"),
-        kind.alias("msg_type"),
+        # a JSON null is blank, a missing field null
+        return cast(F.try_variant_get("__message", f"$.{field}", "string"), blank, _member(field).isNotNull())
+
+    def of(kinds: tuple[int, ...], field: Column) -> Column:
+        return F.when(F.col("__type").isin(*kinds), field)
+
+    parsed = _parsed(messages, value)
+    kind = F.explode(F.array(number("msg_type", lenient_int))).alias("__type")
+    fields = F.struct(
+        _string("icao").alias("icao"),
+        of(FLIGHT_TYPES, _string("flight")).alias("flight"),
+        _string("timestamp_verbose").alias("timestamp_verbose"),
+        F.col("__type").alias("msg_type"),
         F.lit(None).cast("int").alias("track"),
         number("timestamp", lenient_long).alias("timestamp"),
-        F.when(kind.isin(*ALTITUDE_TYPES), number("altitude", lenient_int)).alias("altitude"),
+        of(ALTITUDE_TYPES, number("altitude", lenient_int)).alias("altitude"),
         number("counter", lenient_long).alias("counter"),
-        F.when(kind.isin(*POSITION_TYPES), number("lon", lenient_double)).alias("lon"),
-        F.when(kind.isin(*POSITION_TYPES), number("lat", lenient_double)).alias("lat"),
-        F.when(kind.isin(*SPEED_TYPES), number("speed", lenient_int)).alias("speed"),
+        of(POSITION_TYPES, number("lon", lenient_double)).alias("lon"),
+        of(POSITION_TYPES, number("lat", lenient_double)).alias("lat"),
+        of(SPEED_TYPES, number("speed", lenient_int)).alias("speed"),
         F.lit(None).cast("string").alias("equipment"),
         F.lit(None).cast("string").alias("tail"),
-        *[F.col(f"`{c}`").alias(name) for c, name in carried.items()],
     )
+    typed = parsed.select("*", kind).select("*", F.explode(F.array(fields)).alias("__fields"))
+    return typed.select("__fields.*", *[F.col(f"`{c}`").alias(name) for c, name in carried.items()])
 
 
 def decode_flights(
@@ -119,15 +139,10 @@ def json_text(value: Column, path: str) -> Column:
 
 
 def rejects(messages: DataFrame, key: str, value: str = "value") -> DataFrame:
-    """The messages the decoders find no ``key`` in, with a ``reason``.
+    """The messages the decoders of records find no ``key`` in, with a ``reason``.
 
-    ``malformed`` is text that does not parse as JSON; ``missing_key`` JSON whose key is absent or
-    null, or that is no object.
+    ``malformed`` is text that does not parse as JSON; ``missing_key`` JSON whose key is absent, null
+    or no string, or that is no object.
     """
-    parses = F.try_parse_json(F.col(f"`{value}`")).isNotNull()
-    return (
-        messages.select("*", _fields(value, (key,)))
-        .where(F.col(f"__{key}").isNull())
-        .drop(f"__{key}")
-        .withColumn("reason", F.when(parses, "missing_key").otherwise("malformed"))
-    )
+    reason = F.when(F.col("__message").isNull(), "malformed").when(_string(key).isNull(), "missing_key")
+    return _parsed(messages, value).withColumn("reason", reason).where("reason IS NOT NULL").drop("__message")

@@ -2,13 +2,10 @@
 
 Windows are ``[start, end)``, aligned to the epoch. A hopping window of ``size`` that starts every
 ``slide`` puts each row into ``size / slide`` windows, 720 for one hour every five seconds, so how
-the windows share work decides the cost. Five ways to compute the same rows:
+the windows share work decides the cost. Four ways to compute the same rows:
 
 ``window``   Spark's own sliding window: every row is copied once per window before the aggregate.
-``explode``  the same copies, made by a generator; works on streams and scales to many windows.
-``combine``  rows are combined per pane within their input task, panes with windows in common are
-             brought together, then copied like ``explode``: the way for long windows on streams,
-             where the panes cannot be an aggregate of their own.
+``explode``  the same copies, made by a generator, which scales to many windows: the way on streams.
 ``panes``    aggregate per slide-long pane first, then copy the pane rows.
 ``runs``     aggregate per pane, then find, per key and window-sized block, the stretches of window
              starts whose contents do not change, and write each stretch out. A pane row crosses
@@ -25,14 +22,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.functions.measures import ALL_ROWS, Measure, check_types, distinct_parts, for_keys
-from skytally.operators.combine import combine_in_tasks, row_parts
+from skytally.functions.measures import ALL_ROWS, Measure, check_types, distinct_parts, for_keys, for_types
 from skytally.streaming.eventtime import has_watermark, with_watermark
 
-STRATEGIES = ("window", "explode", "combine", "panes", "runs")
+STRATEGIES = ("window", "explode", "panes", "runs")
 BATCH_ONLY = ("panes", "runs")
-# Streams use Spark's own sliding window up to this many windows per row.
-STREAM_WINDOW_LIMIT = 12
 DEFAULT_DELAY = timedelta(seconds=30)
 
 
@@ -66,7 +60,7 @@ def tumble(
     On a stream, ``delay`` is how long a window stays open for late rows.
     """
     check_types(measures, rows.schema)
-    measures = for_keys(measures, keys)
+    measures = for_types(for_keys(measures, keys), rows.schema)
     grouped = with_watermark(rows, time, delay).groupBy(
         F.window(f"`{time}`", duration(size)).alias("__window"), *_named(keys)
     )
@@ -98,9 +92,9 @@ def hop(
     rows and merge them into a few tasks that each expand into a huge result.
     """
     check_types(measures, rows.schema)
-    measures = for_keys(measures, keys)
+    measures = for_types(for_keys(measures, keys), rows.schema)
     if strategy == "auto":
-        strategy = _pick(rows, size, slide)
+        strategy = _pick(rows, time, size, slide)
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     if strategy in BATCH_ONLY and rows.isStreaming:
@@ -109,14 +103,13 @@ def hop(
         raise ValueError(f"strategy {strategy!r} needs a size that is a multiple of the slide")
     if strategy == "window":
         return _by_window(rows, time, size, slide, keys, measures, bounds, delay)
-    if strategy in ("explode", "combine"):
+    if strategy == "explode":
         if has_watermark(rows, time):
             raise ValueError(
                 "the stream has a watermark already and Spark allows one: pass it without, with delay=, "
                 "or choose strategy='window'"
             )
-        early = strategy == "combine"
-        return _by_explode(rows, time, size, slide, keys, measures, bounds, delay, early)
+        return _by_explode(rows, time, size, slide, keys, measures, bounds, delay)
     zoneless = _check_zone(rows, time)
     if strategy == "panes":
         starts = _expand_panes(_panes(rows, time, slide, keys, measures), size, slide, keys, measures)
@@ -133,12 +126,11 @@ def hop(
     )
 
 
-def _pick(rows: DataFrame, size: timedelta, slide: timedelta) -> str:
-    if micros(size) % micros(slide):
+def _pick(rows: DataFrame, time: str, size: timedelta, slide: timedelta) -> str:
+    """The same way for windows of any number; ``window`` where it is the only one."""
+    if micros(size) % micros(slide) or has_watermark(rows, time):
         return "window"
-    if not rows.isStreaming:
-        return "runs"
-    return "window" if size // slide <= STREAM_WINDOW_LIMIT else "combine"
+    return "explode" if rows.isStreaming else "runs"
 
 
 def _check_zone(rows: DataFrame, time: str) -> bool:
@@ -167,8 +159,8 @@ def _by_window(rows, time, size, slide, keys, measures, bounds, delay) -> DataFr
     )
 
 
-def _by_explode(rows, time, size, slide, keys, measures, bounds, delay, early) -> DataFrame:
-    """Copy each row to the ends of its windows, then group; ``early`` combines the rows of a pane first.
+def _by_explode(rows, time, size, slide, keys, measures, bounds, delay) -> DataFrame:
+    """Copy each row to the ends of its windows, then group. The copies of a task are merged before the shuffle.
 
     On a stream the watermark sits on the window end and allows for the window's size, so windows
     close exactly when a watermark on the event time would close them (size and delay being
@@ -178,14 +170,6 @@ def _by_explode(rows, time, size, slide, keys, measures, bounds, delay, early) -
     pane_end = F.window(f"`{time}`", duration(slide)).end.alias("__pane_end")
     used = dict.fromkeys([*keys, *(p.column for p in parts if p != ALL_ROWS)])
     placed = rows.select(*_named(list(used)), pane_end)
-    if early:
-        pane = [*keys, "__pane_end"]
-        # Panes with windows in common meet in one task, which merges the copies before they are
-        # shuffled; and the copying is as wide as the shuffle, not as the input's partitions. The
-        # second merge leaves one row of each pane, in however many input tasks the pane had rows.
-        block = F.call_function("div", F.unix_micros(F.col("__pane_end").cast("timestamp")), _us(size))
-        placed = combine_in_tasks(row_parts(placed, pane, parts), pane, parts)
-        placed = combine_in_tasks(placed.repartition(*_named(keys), block), pane, parts)
     step = F.expr(f"INTERVAL '{micros(slide) / 1e6:.6f}' SECOND")
     ends = F.transform(
         F.sequence(F.lit(0), F.lit(size // slide - 1)), lambda k: F.col("__pane_end") + k * step
@@ -194,10 +178,8 @@ def _by_explode(rows, time, size, slide, keys, measures, bounds, delay, early) -
     totals = (
         with_watermark(copies, "__end", size + delay)
         .groupBy("__end", *_named(keys))
-        .agg(*[
-            (p.over_parts(F.col(f"`{p.name}`")) if early else p.over_rows()).alias(p.name) for p in parts
-        ])
-    )
+        .agg(*[p.over_rows().alias(p.name) for p in parts])
+    )
     return totals.select(
         *_named(keys),
         (F.col("__end") - F.expr(f"INTERVAL '{micros(size) / 1e6:.6f}' SECOND")).alias(bounds[0]),

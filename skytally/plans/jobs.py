@@ -2,7 +2,10 @@
 
 Each ``*_result`` function maps rows to rows and is the same for tables and streams; each ``run_*``
 function wires a topic, the query and its sinks together. The ``run_*`` functions also register their
-decoded stream under the view name SQL text can use: ``planes``, ``flights`` or ``foobar``.
+decoded stream, and its hopping windows, under view names SQL text can use. ``view`` replaces the name
+``planes``, ``flights`` or ``foobar`` and ``name`` the query's, for two runs of a job in one session. A
+topic is read from ``starting`` on, ``max_offsets`` records to a micro-batch: set the latter before
+replaying a large topic, whose first micro-batch otherwise is all of it.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from skytally.session import apply_conf
 from skytally.sinks.encode import json_rows, key_count, key_count_json, text_rows
 from skytally.sinks.write import Writer, to_console, to_topic
 from skytally.sources.kafka import read_topic_stream
-from skytally.sources.views import register_view
+from skytally.sources.views import register_hops, register_view
 from skytally.streaming.eventtime import record_time
 from skytally.streaming.run import start
 
@@ -41,35 +44,15 @@ ALTITUDES = (
     M.smallest("altitude", "minAltitude"),
 )
 
-# The flagship as SQL text over the view `planes`, after register_functions().
+# The jobs as SQL text, for tables and streams alike: the tumbling one over the view `flights`, the
+# others over the views of hopping windows that `register_*` makes, whose plans they share.
 PLANES_SQL = """
-SELECT icao, count(icao) AS pings, window.start AS hopStart, window.end AS hopEnd,
-       sum(altitude) DIV count(altitude) AS avgAltitude,
-       max(altitude) AS maxAltitude, min(altitude) AS minAltitude,
+SELECT icao, pings, hopStart, hopEnd, avgAltitude, maxAltitude, minAltitude,
        isMilitary(icao) AS IsMilitaryPlane
-FROM planes
-WHERE icao IS NOT NULL AND altitude IS NOT NULL
-GROUP BY window(mytimestamp, '5 minutes', '5 seconds'), icao
+FROM planes_hop5m
 """
-
-# The other jobs as SQL text, over the views `flights` and `foobar`. Over long windows Spark's own
-# window() copies every row to each of its windows; these count per five seconds first, bring the
-# counts of a key and hour together and copy those. That takes two aggregates, so it is for tables.
-# The functions below do it on streams too, and shuffle less.
 FLIGHTS_HOURLY_SQL = """
-WITH panes AS (
-  SELECT icao, window.start AS pane, count(icao) AS pings, sum(altitude) AS total,
-         count(altitude) AS known, max(altitude) AS high, min(altitude) AS low
-  FROM flights
-  WHERE icao IS NOT NULL AND altitude IS NOT NULL
-  GROUP BY window(mytimestamp, '5 seconds'), icao
-  DISTRIBUTE BY icao, date_trunc('HOUR', pane))
-SELECT icao, sum(pings) AS pings, hopStart, hopStart + INTERVAL '1' HOUR AS hopEnd,
-       sum(total) DIV sum(known) AS avgAltitude, max(high) AS maxAltitude, min(low) AS minAltitude
-FROM panes
-LATERAL VIEW explode(
-  sequence(pane - INTERVAL '59:55' MINUTE TO SECOND, pane, INTERVAL '5' SECOND)) AS hopStart
-GROUP BY hopStart, icao
+SELECT icao, pings, hopStart, hopEnd, avgAltitude, maxAltitude, minAltitude FROM flights_hop1h
 """
 FLIGHTS_TUMBLING_SQL = """
 SELECT icao, count(icao) AS pings, altitude, window.start AS windowStart, window.end AS windowEnd
@@ -77,18 +60,7 @@ FROM flights
 WHERE icao IS NOT NULL AND altitude IS NOT NULL
 GROUP BY window(mytimestamp, '5 seconds'), icao, altitude
 """
-NESTED_SQL = """
-WITH panes AS (
-  SELECT field1, window.start AS pane, count(*) AS mycount
-  FROM foobar
-  GROUP BY window(mytimestamp, '5 seconds'), field1
-  DISTRIBUTE BY field1, date_trunc('HOUR', pane))
-SELECT sum(mycount) AS mycount, field1, hopStart, hopStart + INTERVAL '1' HOUR AS hopEnd
-FROM panes
-LATERAL VIEW explode(
-  sequence(pane - INTERVAL '59:55' MINUTE TO SECOND, pane, INTERVAL '5' SECOND)) AS hopStart
-GROUP BY hopStart, field1
-"""
+NESTED_SQL = "SELECT mycount, field1, hopStart, hopEnd FROM foobar_hop1h"
 
 
 def measured(rows: DataFrame) -> DataFrame:
@@ -96,11 +68,13 @@ def measured(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("icao").isNotNull() & F.col("altitude").isNotNull())
 
 
-def planes_result(planes: DataFrame, delay: timedelta = NO_DELAY, strategy: str = "auto") -> DataFrame:
+def planes_result(
+    planes: DataFrame, delay: timedelta = NO_DELAY, strategy: str = "auto", partitions: int | None = None
+) -> DataFrame:
     """Per aircraft: pings and altitudes over the last five minutes, every five seconds."""
     stats = hop(
         measured(planes), "mytimestamp", FIVE_MINUTES, SLIDE, ["icao"], [PINGS, *ALTITUDES],
-        strategy=strategy, delay=delay,
+        strategy=strategy, delay=delay, partitions=partitions,
     )
     return stats.select(
         "icao", "pings", "hopStart", "hopEnd", "avgAltitude", "maxAltitude", "minAltitude",
@@ -108,11 +82,13 @@ def planes_result(planes: DataFrame, delay: timedelta = NO_DELAY, strategy: str
     )
 
 
-def flights_hourly_result(flights: DataFrame, delay: timedelta = DELAY, strategy: str = "auto") -> DataFrame:
+def flights_hourly_result(
+    flights: DataFrame, delay: timedelta = DELAY, strategy: str = "auto", partitions: int | None = None
+) -> DataFrame:
     """Per aircraft: pings and altitudes over the last hour, every five seconds."""
     stats = hop(
         measured(flights), "mytimestamp", ONE_HOUR, SLIDE, ["icao"], [PINGS, *ALTITUDES],
-        strategy=strategy, delay=delay,
+        strategy=strategy, delay=delay, partitions=partitions,
     )
     return stats.select(
         "icao", "pings", "hopStart", "hopEnd", "avgAltitude", "maxAltitude", "minAltitude"
@@ -134,15 +110,42 @@ def flights_tumbling_by_key_result(flights: DataFrame, delay: timedelta = DELAY)
     return tumble(keyed, "mytimestamp", SLIDE, ["icao"], [PINGS], delay=delay)
 
 
-def nested_result(foobar: DataFrame, delay: timedelta = DELAY, strategy: str = "auto") -> DataFrame:
+def nested_result(
+    foobar: DataFrame, delay: timedelta = DELAY, strategy: str = "auto", partitions: int | None = None
+) -> DataFrame:
     """Messages per ``field1`` over the last hour, every five seconds."""
     counts = hop(
         foobar, "mytimestamp", ONE_HOUR, SLIDE, ["field1"], [M.count_rows("mycount")],
-        strategy=strategy, delay=delay,
+        strategy=strategy, delay=delay, partitions=partitions,
     )
     return counts.select("mycount", "field1", "hopStart", "hopEnd")
 
 
+def register_planes(planes: DataFrame, delay: timedelta = NO_DELAY, view: str = "planes") -> None:
+    """The views ``planes`` and ``planes_hop5m``."""
+    register_view(planes, view, time="mytimestamp", delay=delay)
+    register_hops(
+        measured(planes), f"{view}_hop5m", "mytimestamp", FIVE_MINUTES, SLIDE, ["icao"], [PINGS, *ALTITUDES], delay=delay
+    )
+
+
+def register_flights(flights: DataFrame, delay: timedelta = DELAY, view: str = "flights") -> None:
+    """The views ``flights`` and, unless its altitude is text, ``flights_hop1h``."""
+    register_view(flights, view, time="mytimestamp", delay=delay)
+    if dict(flights.dtypes)["altitude"] != "string":
+        register_hops(
+            measured(flights), f"{view}_hop1h", "mytimestamp", ONE_HOUR, SLIDE, ["icao"], [PINGS, *ALTITUDES], delay=delay
+        )
+
+
+def register_foobar(foobar: DataFrame, delay: timedelta = DELAY, view: str = "foobar") -> None:
+    """The views ``foobar`` and ``foobar_hop1h``."""
+    register_view(foobar, view, NESTED_COLUMNS, time="mytimestamp", delay=delay)
+    register_hops(
+        foobar, f"{view}_hop1h", "mytimestamp", ONE_HOUR, SLIDE, ["field1"], [M.count_rows("mycount")], delay=delay
+    )
+
+
 def planes_table(messages: DataFrame, blank: str = "zero") -> DataFrame:
     """The columns of the ``planes`` view, event time taken from the record."""
     decoded = record_time(decode_aircraft(messages, blank=blank), "record_time")
@@ -159,6 +162,10 @@ def run_planes(
     interval: timedelta = SLIDE,
     messages: DataFrame | None = None,
     writers: list[Writer] | None = None,
+    name: str | None = None,
+    view: str = "planes",
+    starting: str = "earliest",
+    max_offsets: int | None = None,
     **options,
 ) -> StreamingQuery:
     """Five-minute statistics as JSON rows to a topic and to the console.
@@ -167,12 +174,12 @@ def run_planes(
     """
     apply_conf(spark)
     register_functions(spark)
-    source = messages if messages is not None else read_topic_stream(spark, read_topic, properties)
+    source = messages if messages is not None else read_topic_stream(spark, read_topic, properties, starting, max_offsets)
     planes = planes_table(source)
-    register_view(planes, "planes", time="mytimestamp", delay=delay)
+    register_planes(planes, delay, view)
     sinks = writers or [to_topic(write_topic, properties, json_rows), to_console()]
     return start(
-        planes_result(planes, delay), f"planes from {read_topic}", checkpoint, sinks,
+        planes_result(planes, delay), name or f"planes from {read_topic}", checkpoint, sinks,
         interval=interval, **options,
     )
 
@@ -187,16 +194,20 @@ def run_flights_hourly(
     interval: timedelta = SLIDE,
     messages: DataFrame | None = None,
     writers: list[Writer] | None = None,
+    name: str | None = None,
+    view: str = "flights",
+    starting: str = "earliest",
+    max_offsets: int | None = None,
     **options,
 ) -> StreamingQuery:
     """One-hour statistics as comma-joined text to a topic and to the console."""
     apply_conf(spark)
-    source = messages if messages is not None else read_topic_stream(spark, read_topic, properties)
+    source = messages if messages is not None else read_topic_stream(spark, read_topic, properties, starting, max_offsets)
     flights = decode_flights(source)
-    register_view(flights, "flights", time="mytimestamp", delay=delay)
+    register_flights(flights, delay, view)
     sinks = writers or [to_console(), to_topic(write_topic, properties, text_rows)]
     return start(
-        flights_hourly_result(flights, delay), "flights hourly", checkpoint, sinks,
+        flights_hourly_result(flights, delay), name or "flights hourly", checkpoint, sinks,
         interval=interval, **options,
     )
 
@@ -211,16 +222,20 @@ def run_flights_tumbling(
     interval: timedelta = SLIDE,
     messages: DataFrame | None = None,
     writers: list[Writer] | None = None,
+    name: str | None = None,
+    view: str = "flights",
+    starting: str = "earliest",
+    max_offsets: int | None = None,
     **options,
 ) -> StreamingQuery:
     """Five-second counts: whole rows to the console, key and count as JSON to a topic."""
     apply_conf(spark)
-    source = messages if messages is not None else read_topic_stream(spark, read_topic, properties)
+    source = messages if messages is not None else read_topic_stream(spark, read_topic, properties, starting, max_offsets)
     flights = decode_flights(source, altitude="string", rowtime="payload")
-    register_view(flights, "flights", time="mytimestamp", delay=delay)
+    register_flights(flights, delay, view)
     pairs = to_topic(write_topic, properties, lambda rows: key_count_json(key_count(rows))) if not writers else None
     return start(
-        flights_tumbling_result(flights, delay), "flights tumbling", checkpoint,
+        flights_tumbling_result(flights, delay), name or "flights tumbling", checkpoint,
         writers or [to_console(), pairs], interval=interval, **options,
     )
 
@@ -234,16 +249,20 @@ def run_nested(
     interval: timedelta = SLIDE,
     messages: DataFrame | None = None,
     writers: list[Writer] | None = None,
+    name: str | None = None,
+    view: str = "foobar",
+    starting: str = "earliest",
+    max_offsets: int | None = None,
     **options,
 ) -> StreamingQuery:
     """Hourly message counts of nested messages: schema and rows to the console."""
     apply_conf(spark)
-    source = messages if messages is not None else read_topic_stream(spark, read_topic, properties)
+    source = messages if messages is not None else read_topic_stream(spark, read_topic, properties, starting, max_offsets)
     foobar = decode_nested(source)
-    register_view(foobar, "foobar", NESTED_COLUMNS, time="mytimestamp", delay=delay)
+    register_foobar(foobar, delay, view)
     result = nested_result(foobar, delay)
     result.printSchema()
-    return start(result, "nested hourly", checkpoint, writers or [to_console()], interval=interval, **options)
+    return start(result, name or "nested hourly", checkpoint, writers or [to_console()], interval=interval, **options)
 
 
 def run_rejects(
@@ -255,10 +274,13 @@ def run_rejects(
     writers: list[Writer],
     interval: timedelta = SLIDE,
     messages: DataFrame | None = None,
+    name: str | None = None,
+    starting: str = "earliest",
+    max_offsets: int | None = None,
     **options,
 ) -> StreamingQuery:
     """The messages of a topic that the other jobs find no ``key`` in, with the reason."""
-    source = messages if messages is not None else read_topic_stream(spark, read_topic, properties)
+    source = messages if messages is not None else read_topic_stream(spark, read_topic, properties, starting, max_offsets)
     return start(
-        rejects(source, key), f"rejects of {read_topic}", checkpoint, writers, interval=interval, **options
+        rejects(source, key), name or f"rejects of {read_topic}", checkpoint, writers, interval=interval, **options
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -17,14 +16,20 @@ REQUIRED_CONF = {
     # every micro-batch commits its changes durably; full snapshots follow every 300 seconds
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.maintenanceInterval": "300s",
-    # counting the rows of the store costs a read before every write
+    # counting the rows of the store costs a read before every write; off, progress reports 0 rows
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 
-def apply_conf(spark: SparkSession) -> SparkSession:
+_work_base: str | None = None
+
+
+def apply_conf(spark: SparkSession, count_state: bool = False) -> SparkSession:
+    """Set what the package relies on; ``count_state`` makes progress report how many rows the state holds."""
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    if count_state:
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "true")
     return spark
 
 
@@ -48,15 +53,19 @@ def local_session(
     return builder.getOrCreate()
 
 
+def use_work_folder(folder: str) -> None:
+    """Name the folder for working tables of sessions without ``spark.checkpoint.dir``."""
+    global _work_base
+    _work_base = folder
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for checkpoints and intermediate tables.
 
-    Lives under ``spark.checkpoint.dir``, which on a cluster names shared storage. Only a
-    single-machine session without that setting falls back to a local temporary folder.
+    Lives under ``spark.checkpoint.dir``, which on a cluster names shared storage, or, where that is
+    unset, under the folder the caller named with :func:`use_work_folder`.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _work_base
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="skytally-")
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -7,25 +7,40 @@ batch a folder of its own and overwrites it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 
+from skytally.sinks.encode import text_rows
 from skytally.sources.kafka import writer_options
 
 Writer = Callable[[DataFrame, int], None]
 Encoder = Callable[[DataFrame], DataFrame]
 
 
-def to_console(rows: int = 20) -> Writer:
-    """Print the first ``rows`` rows of each batch, for debugging."""
+def _whole(writer: Writer) -> Writer:
+    """Mark a writer that reads its batch to the end."""
+    writer.reads_whole_batch = True
+    return writer
+
+
+def to_console(show: Callable[[str], None] = print) -> Writer:
+    """Print every row of each batch where it is computed: on a cluster, to the executors' output.
+
+    ``show`` takes a row's text and runs on the executors.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         print(f"batch {number}")
-        batch.show(rows, truncate=False)
 
-    return write
+        def each(rows: Iterator[Row]) -> None:
+            for row in rows:
+                show(row.value)
+
+        text_rows(batch).foreachPartition(each)
+
+    return _whole(write)
 
 
 def to_topic(topic: str, properties: Mapping[str, str], encode: Encoder) -> Writer:
@@ -34,7 +49,7 @@ def to_topic(topic: str, properties: Mapping[str, str], encode: Encoder) -> Writ
     def write(batch: DataFrame, number: int) -> None:
         encode(batch).write.format("kafka").options(**options).save()
 
-    return write
+    return _whole(write)
 
 
 def to_text(path: str, encode: Encoder) -> Writer:
@@ -43,7 +58,7 @@ def to_text(path: str, encode: Encoder) -> Writer:
     def write(batch: DataFrame, number: int) -> None:
         encode(batch).write.mode("overwrite").text(f"{path}/batch={number}")
 
-    return write
+    return _whole(write)
 
 
 def to_parquet(path: str) -> Writer:
@@ -52,18 +67,24 @@ def to_parquet(path: str) -> Writer:
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return write
+    return _whole(write)
 
 
 def fan_out(writers: Sequence[Writer]) -> Writer:
-    """Feed one result to several writers while computing it once."""
+    """Feed one result to several writers while computing it once.
+
+    A stateful query fails if a batch leaves partitions uncomputed, whose state is then not
+    committed. So the batch is computed whole before the writers get it, unless the only writer is
+    known to read it to the end.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        if len(writers) == 1:
+        if len(writers) == 1 and getattr(writers[0], "reads_whole_batch", False):
             writers[0](batch, number)
             return
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            batch.write.format("noop").mode("overwrite").save()
             for writer in writers:
                 writer(batch, number)
         finally:

@@ -7,6 +7,8 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skytally.functions.measures import Measure
+from skytally.operators.windows import hop
 from skytally.streaming.eventtime import with_watermark
 
 
@@ -26,6 +28,25 @@ def register_view(
     return rows
 
 
+def register_hops(
+    rows: DataFrame,
+    name: str,
+    time: str,
+    size: timedelta,
+    slide: timedelta,
+    keys: Sequence[str],
+    measures: Sequence[Measure],
+    **options,
+) -> DataFrame:
+    """Expose the hopping windows of a table or stream under ``name``, a row per key and window.
+
+    SQL text then runs on the plan of :func:`skytally.operators.windows.hop`, which ``options`` go to.
+    """
+    hops = hop(rows, time, size, slide, keys, measures, **options)
+    hops.createOrReplaceTempView(name)
+    return hops
+
+
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
     """SQL over registered views; over a streaming view the result is a stream."""
     return spark.sql(text)

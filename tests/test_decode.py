@@ -8,13 +8,13 @@ from skytally.schemas import AIRCRAFT, FLIGHTS, FLIGHTS_TEXT_ALTITUDE, MESSAGE
 from tests.helpers import plan
 
 A = {
-    "flight": "UAL101", "timestamp_verbose": "2018-03-26 09:37:51.409131", "msg_type": "3", "track": "",
-    "timestamp": 1522075071, "altitude": "36000", "counter": 35672, "lon": "-97.62028", "icao": "AC0DD9",
-    "vr": "", "lat": "30.09942", "speed": "",
+    "flight": "TST204", "timestamp_verbose": "2020-05-04 03:02:01.000009", "msg_type": "3", "track": "",
+    "timestamp": 1588561321, "altitude": "21500", "counter": 517, "lon": "-12.5625", "icao": "B01C2D",
+    "vr": "", "lat": "48.03125", "speed": "",
 }
 B = {
-    "flight": "", "timestamp_verbose": "2017-10-19 17:41:42.826284", "msg_type": "8", "track": "",
-    "timestamp": 1508452902, "altitude": "", "counter": 48003, "lon": "", "icao": "A7BD16", "vr": "",
+    "flight": "", "timestamp_verbose": "2020-05-04 04:05:06.000007", "msg_type": "8", "track": "",
+    "timestamp": 1588565106, "altitude": "", "counter": 518, "lon": "", "icao": "B0FFEE", "vr": "",
     "lat": "", "speed": "",
 }
 
@@ -22,7 +22,7 @@ B = {
 def messages(spark, *texts):
     rows = [(t if t is None or isinstance(t, str) else json.dumps(t),) for t in texts]
     df = spark.createDataFrame(rows, "value string").coalesce(1)
-    return df.withColumn("timestamp", F.timestamp_seconds(F.lit(1522075072)))
+    return df.withColumn("timestamp", F.timestamp_seconds(F.lit(1588561322)))
 
 
 def one(spark, message, **kw):
@@ -31,15 +31,15 @@ def one(spark, message, **kw):
 
 def test_sample_with_position(spark):
     got = one(spark, A)
-    assert got["msg_type"] == 3 and got["altitude"] == 36000 and got["counter"] == 35672
-    assert (got["lat"], got["lon"]) == (30.09942, -97.62028)
-    assert got["timestamp"] == 1522075071 and got["icao"] == "AC0DD9"
+    assert got["msg_type"] == 3 and got["altitude"] == 21500 and got["counter"] == 517
+    assert (got["lat"], got["lon"]) == (48.03125, -12.5625)
+    assert got["timestamp"] == 1588561321 and got["icao"] == "B01C2D"
     assert got["flight"] is None and got["speed"] is None
 
 
 def test_sample_without_measurements(spark):
     got = one(spark, B)
-    assert got["msg_type"] == 8 and got["icao"] == "A7BD16"
+    assert got["msg_type"] == 8 and got["icao"] == "B0FFEE"
     assert all(got[c] is None for c in ("altitude", "lat", "lon", "flight", "speed", "track", "equipment", "tail"))
 
 
@@ -76,7 +76,15 @@ def test_json_null_is_blank_and_missing_is_null(spark):
 
 def test_numbers_may_come_unquoted(spark):
     got = one(spark, {**A, "msg_type": 3, "altitude": 36000.9, "icao": 123456})
-    assert (got["msg_type"], got["altitude"], got["icao"]) == (3, 36000, "123456")
+    assert (got["msg_type"], got["altitude"], got["icao"]) == (3, 36000, None)
+
+
+def test_text_fields_take_strings_only(spark):
+    for other in (123, 1.5, True, {"a": 1}, ["a"], None):
+        got = one(spark, {**A, "msg_type": "1", "icao": other, "flight": other, "timestamp_verbose": other})
+        assert (got["icao"], got["flight"], got["timestamp_verbose"]) == (None, None, None)
+        assert [r.reason for r in rejects(messages(spark, {**A, "icao": other}), "icao").collect()] == ["missing_key"]
+    assert one(spark, {**A, "icao": "123"})["icao"] == "123"
 
 
 def test_decoded_types(spark):
@@ -98,12 +106,12 @@ def test_declared_table(spark):
     hopping = decode_flights(source)
     assert [(f.name, f.dataType) for f in hopping.schema] == [(f.name, f.dataType) for f in FLIGHTS]
     a, b = hopping.collect()
-    assert a.altitude == 36000 and b.altitude is None and a.msg_type == "3" and a.counter == "35672"
-    assert a.mytimestamp.timestamp() == 1522075072
+    assert a.altitude == 21500 and b.altitude is None and a.msg_type == "3" and a.counter == "517"
+    assert a.mytimestamp.timestamp() == 1588561322
     tumbling = decode_flights(source, altitude="string", rowtime="payload")
     assert [(f.name, f.dataType) for f in tumbling.schema] == [(f.name, f.dataType) for f in FLIGHTS_TEXT_ALTITUDE]
     a, b = tumbling.collect()
-    assert a.altitude == "36000" and b.altitude == "" and a.mytimestamp.timestamp() == 1522075071
+    assert a.altitude == "21500" and b.altitude == "" and a.mytimestamp.timestamp() == 1588561321
 
 
 def test_nested(spark):
@@ -126,5 +134,8 @@ def test_message_is_parsed_once_under_filters(spark, tmp_path):
     messages(spark, A).write.parquet(f"{tmp_path}/m")
     source = spark.read.schema(MESSAGE).parquet(f"{tmp_path}/m")
     text = plan(decode_aircraft(source).where("icao IS NOT NULL AND altitude IS NOT NULL").select("icao"))
-    assert text.count("Generate (") == 1
-    assert "from_json" not in text and "Python" not in text
+    assert text.split("\n\n")[0].count("Generate (") == 3
+    assert "from_json" not in text and "json_tuple" not in text and "Python" not in text
+    details = text.split("\n\n")[1:]
+    filters = [d for d in details if " Filter" in d.split("\n")[0]]
+    assert filters and not any("cast" in d or "RLIKE" in d or "variant" in d.lower() for d in filters)

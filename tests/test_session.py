@@ -2,6 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from skytally import session
 from skytally.session import work_dir
 
 
@@ -15,7 +16,14 @@ def test_work_dir_is_the_shared_folder():
     assert a.startswith("hdfs://x/checkpoints/late-") and a != b
 
 
-def test_no_local_folder_on_a_cluster():
-    with pytest.raises(ValueError, match="checkpoint"):
-        work_dir(fake("spark://host:7077"), "late")
-    assert "skytally-" in work_dir(fake("local[2]"), "late")
+def test_folder_must_be_named():
+    for master in ("spark://host:7077", "local[2]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            work_dir(fake(master), "late")
+
+
+def test_named_folder_counts_where_the_setting_is_missing(monkeypatch):
+    monkeypatch.setattr(session, "_work_base", None)
+    session.use_work_folder("/named")
+    assert work_dir(fake("local[2]"), "late").startswith("/named/late-")
+    assert work_dir(fake("local[2]", "hdfs://x"), "late").startswith("hdfs://x/late-")

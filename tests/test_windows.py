@@ -60,10 +60,9 @@ def random_rows(seed, n, span, edge):
     [(15, 5, 60), (300, 5, 1000), (20, 20, 100), (10, 5, 3000), (3600, 5, 9000)],
 )
 def test_hop_equals_brute_force(spark, strategy, size, slide, span):
-    if size == 3600 and strategy == "window":
-        pytest.skip("720 copies per row through Spark's own window: slow and covered by the shorter sizes")
+    n = 20 if size == 3600 and strategy == "window" else 150  # 720 copies of a row through Spark's own window take long
     size, slide = size * SECOND, slide * SECOND
-    data = random_rows(size.seconds, 150, span * 1_000_000, 5_000_000)
+    data = random_rows(size.seconds, n, span * 1_000_000, 5_000_000)
     zoneless = table(spark, data).withColumn("t", F.col("t").cast("timestamp_ntz"))
     got = hop(zoneless, "t", size, slide, ["k"], MEASURES, strategy=strategy)
     assert got.columns[:3] == ["k", "hopStart", "hopEnd"]
@@ -125,6 +124,24 @@ def test_double_and_decimal_sums(spark):
     assert results.count(results[0]) == len(STRATEGIES)
 
 
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_nan_overflow_and_struct_keys(spark, strategy):
+    """The strategies agree where aggregates are delicate."""
+    base = table(spark, random_rows(2, 40, 30_000_000, 5_000_000)).withColumn("key", F.struct("k", F.lit(1).alias("x")))
+    high = [M.largest("d", "high"), M.smallest("d", "low")]
+    doubles = base.withColumn("d", F.when(F.col("v") == 3, float("nan")).otherwise(F.col("v") + 0.5))
+
+    def by(measures, df, s=strategy):
+        return hop(df, "t", 15 * SECOND, 5 * SECOND, ["key"], measures, strategy=s)
+
+    assert repr(rows(by(high, doubles))) == repr(rows(by(high, doubles, "window")))  # a NaN is not equal to itself
+    big = base.withColumn("v", F.lit(2**62 + 2**61))
+    wide = [M.mean("v", "m", mode="double")]
+    assert {r.m for r in by(wide, big).select("m").distinct().collect()} == {float(2**62 + 2**61)}
+    with pytest.raises(Exception, match="OVERFLOW"):
+        by([M.total("v", "s")], big).collect()
+
+
 def test_whole_mean_needs_whole_numbers(spark):
     df = spark.createDataFrame([("a", None, 1.5)], "k string, t timestamp, v double")
     with pytest.raises(TypeError, match="double"):
