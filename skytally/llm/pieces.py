@@ -10,8 +10,8 @@ cut in several ways over a corpus and always in the same ways on a rerun.
 Whatever is skipped, the pieces spell the text: decoding gives it back exactly. A text's own U+2581,
 which the model writes for a space, is spelled in bytes.
 
-A part and variant that occurred lately is taken from a table of ``CACHE`` entries; the others of a batch
-are encoded together, a round of merges at a time, in numpy arrays.
+A part and variant that occurred lately is taken from a table of ``CACHE`` entries, whose older half goes
+when the newer one is full; the others of a batch are encoded together, a round of merges at a time, in numpy arrays.
 
 A null text has null ids; an empty one none, and decodes as empty. Rows with a null key count as key
 ''. Repeated rows get equal ids. All columns are kept; the new ones must be named apart by the caller.
@@ -23,13 +23,14 @@ import heapq
 import re
 import uuid
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skytally.llm.tokens import as_bytes, hash_spans, mix
 
@@ -82,7 +83,8 @@ class Pieces:
         self.of_char[0x20], self.of_char[ord(_SPACE)] = self.ids.get(_SPACE, -1), -1
         self.rate = int(dropout * (1 << 24))
         self.seed = seed
-        self.caches: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
+        self.young: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
+        self.old: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
 
     def symbols(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the characters of all parts, or of their bytes, and where each part's begin."""
@@ -213,17 +215,23 @@ class Pieces:
             place = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
             which = (mix(np.repeat(names, counts) + place.astype(_U)) % _U(VARIANTS)).astype(np.int64)
         which = which.tolist()
-        if sum(map(len, self.caches)) > CACHE:
-            self.caches = [{} for _ in range(VARIANTS)]
-        caches = self.caches
-        found = [caches[v].get(p) for p, v in zip(every, which)]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        new = dict.fromkeys((every[i], which[i]) for i in missing)
+        if sum(map(len, self.young)) > CACHE // 2:
+            self.old, self.young = self.young, [{} for _ in range(VARIANTS)]
+        young, old = self.young, self.old
+        found = [young[v].get(p) for p, v in zip(every, which)]
+        missing, new = [i for i, ids in enumerate(found) if ids is None], {}
+        for i in missing:
+            p, v = every[i], which[i]
+            ids = old[v].get(p)
+            if ids is None:
+                new[p, v] = None
+            else:
+                young[v][p] = ids
         if new:
             for (p, v), ids in zip(new, self.encode_parts([p for p, _ in new], [v for _, v in new])):
-                caches[v][p] = ids
-            for i in missing:
-                found[i] = caches[which[i]][every[i]]
+                young[v][p] = ids
+        for i in missing:
+            found[i] = young[which[i]][every[i]]
         at, out = 0, []
         for t, n in zip(texts, counts):
             out.append(None if t is None else np.frombuffer(b"".join(found[at : at + n]), np.int32))
@@ -253,24 +261,30 @@ def _shared(spark: SparkSession, model: str, dropout: float, seed: int) -> Calla
 _MADE: dict = {}
 
 
-def encoder(spark: SparkSession, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> Callable[[Column, Column], Column]:
-    """Ids of a text column, varied by a key column."""
-    get = _shared(spark, model, dropout, seed)
+def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "ids", model: str = MODEL,
+            dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
+    """``docs`` with the ids of ``text`` in ``out``, varied by ``key``.
 
-    @F.arrow_udf("array<int>")
-    def encode(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        data, offsets = as_bytes(keys.cast(pa.string()))
-        full = np.flatnonzero(np.diff(offsets))
-        names = np.zeros(len(keys), _U)
-        if len(full):
-            names[full] = hash_spans(data, offsets[:-1][full], offsets[1:][full])
-        ids = get().encode(texts.to_pylist(), names)
-        ends = np.concatenate([[0], np.cumsum([0 if x is None else len(x) for x in ids])]).astype(np.int32)
-        flat = np.concatenate([x for x in ids if x is not None] or [np.zeros(0, np.int32)])
-        missing = pa.array([x is None for x in ids])
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()), mask=missing if missing.true_count else None)
+    A pass of its own over the rows: as an expression, each use of the ids could encode again.
+    """
+    get = _shared(docs.sparkSession, model, dropout, seed)
+    schema = T.StructType([*docs.schema, T.StructField(out, T.ArrayType(T.IntegerType()))])
 
-    return encode
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = as_bytes(batch.column(key).cast(pa.string()))
+            full = np.flatnonzero(np.diff(offsets))
+            names = np.zeros(batch.num_rows, _U)
+            if len(full):
+                names[full] = hash_spans(data, offsets[:-1][full], offsets[1:][full])
+            ids = get().encode(batch.column(text).to_pylist(), names)
+            ends = np.concatenate([[0], np.cumsum([0 if x is None else len(x) for x in ids])]).astype(np.int32)
+            flat = np.concatenate([x for x in ids if x is not None] or [np.zeros(0, np.int32)])
+            missing = pa.array([x is None for x in ids], pa.bool_())
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()), mask=missing if missing.true_count else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], schema.names)
+
+    return docs.mapInArrow(encode, schema)
 
 
 def decoder(spark: SparkSession, model: str = MODEL) -> Callable[[Column], Column]:
@@ -287,11 +301,6 @@ def decoder(spark: SparkSession, model: str = MODEL) -> Callable[[Column], Colum
     return decode
 
 
-def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "ids", **options) -> DataFrame:
-    """``docs`` with the ids of ``text`` in ``out``."""
-    return docs.withColumn(out, encoder(docs.sparkSession, **options)(F.col(text), F.col(key).cast("string")))
-
-
 def decoded(docs: DataFrame, ids: str = "ids", out: str = "decoded", **options) -> DataFrame:
     """``docs`` with the text of ``ids`` in ``out``."""
     return docs.withColumn(out, decoder(docs.sparkSession, **options)(F.col(ids)))
