@@ -9,8 +9,8 @@ Flight: three undecided rows always admit a step that keeps both totals, namely
 of the two constraints, until one row reaches 0 or 1. Rows are dealt to blocks of a source by a hash
 of their key, some ``BLOCK`` rows each, so that a large source is many tasks; a block leaves two rows
 undecided at most. Those meet in blocks of the next level, and so on, until one block per source is
-left. Landing: a dozen rows of all lengths are kept out of the last flight and settled together with
-the two it leaves, the way that misses the words, then the rows, by least.
+left. Landing: the last two rows of a source are settled by draws, and a few exchanges among the rows of
+its last block make up for the words these add or take.
 
 Draws are keyed by source, level and block, so reruns agree whatever the partitioning.
 
@@ -35,8 +35,8 @@ from skytally.llm.store import saved
 WEIGHTS = (3, 1, 2)
 SHARE, CAP = 1.5, 2.0
 BLOCK = 512
-#: Rows a source's landing settles, besides the flight's last two.
-LANDING = 10
+#: Exchanges that may follow the last draws of a source.
+EXCHANGES = 4
 _NEAR = 1e-9
 
 
@@ -85,20 +85,9 @@ def targets(sources: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
     return named.withColumn("target", F.least(F.col("weight") * level, limit)).drop("weight")
 
 
-def land(pi: list[float], n: list[int], size: list[int], left: list[int], draw: random.Random) -> None:
-    """Settles the rows ``left``, a dozen at most: of all ways the one that misses words, then rows, by least; ties by draw."""
-    ways = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
-    off = ways - np.array([pi[k] for k in left])
-    many, long = (np.array([x[k] for k in left], float) for x in (n, size))
-    cost = np.abs(off @ (many * long)) + np.abs(off @ many) * 1e-3
-    best = np.flatnonzero(cost <= cost.min() + 1e-6)
-    for k, x in zip(left, ways[draw.choice(best.tolist())]):
-        pi[k] = float(x)
-
-
-def flight(pi: list[float], n: list[int], size: list[int], draw: random.Random, last: bool) -> list[float]:
-    """Moves ``pi`` until two are undecided at most, keeping the sums of n * pi and n * size * pi; lands if ``last``."""
-    pi, active = list(pi), []
+def flight(pi: list[float], n: list[int], size: list[int], rows: list[int], draw: random.Random) -> list[int]:
+    """Moves ``pi`` of ``rows`` until two of them are undecided at most; keeps the sums of n * pi and n * size * pi."""
+    active: list[int] = []
 
     def step(u: list[float]) -> None:
         up = min((1 - pi[k]) / x if x > 0 else pi[k] / -x for k, x in zip(active, u) if x)
@@ -109,10 +98,8 @@ def flight(pi: list[float], n: list[int], size: list[int], draw: random.Random,
             pi[k] = 0.0 if moved < _NEAR else 1.0 if moved > 1 - _NEAR else moved
         active[:] = [k for k in active if 0 < pi[k] < 1]
 
-    order = sorted(range(len(pi)), key=lambda k: -size[k])
-    held = set(order[:: max(1, len(order) // LANDING)][-LANDING:]) if last else set()
-    for k in order:
-        if k in held:
+    for k in rows:
+        if not 0 < pi[k] < 1:
             continue
         active.append(k)
         if len(active) == 3:
@@ -121,9 +108,32 @@ def flight(pi: list[float], n: list[int], size: list[int], draw: random.Random,
             step([x / n[k] for x, k in zip(d, active)])
         if len(active) == 2 and size[active[0]] == size[active[1]]:
             step([1 / n[active[0]], -1 / n[active[1]]])
-    if last:
-        land(pi, n, size, [*active, *sorted(held)], draw)
-    return pi
+    return active
+
+
+def land(pi: list[float], n: list[int], size: list[int], rows: list[int], draw: random.Random) -> None:
+    """Decides all ``rows``: a flight, draws for the two it leaves, and exchanges that make up for the draws.
+
+    An exchange turns two rows round, or one. Of all in the block the one that leaves the least error in
+    words, then in rows, is made, while it helps and ``EXCHANGES`` times at most.
+    """
+    words, rows_of = np.array([n[k] * size[k] for k in rows], float), np.array([n[k] for k in rows], float)
+    want = np.array([pi[k] for k in rows])
+    for k in flight(pi, n, size, rows, draw):
+        pi[k] = float(draw.random() < pi[k])
+    got = np.array([pi[k] for k in rows])
+    for _ in range(EXCHANGES if rows else 0):
+        turn = 1 - 2 * got
+        off, off_rows = (got - want) @ words, (got - want) @ rows_of
+        # the diagonal turns one row round
+        both = lambda x: np.add.outer(x, x) - np.diag(x)
+        cost = np.abs(off + both(turn * words)) + 1e-3 * np.abs(off_rows + both(turn * rows_of))
+        i, j = divmod(int(cost.argmin()), len(rows))
+        if cost[i, j] >= abs(off) + 1e-3 * abs(off_rows) - _NEAR:
+            break
+        got[i], got[j] = (1 - got[i], 1 - got[j]) if i != j else (1 - got[i],) * 2
+    for k, x in zip(rows, got):
+        pi[k] = float(x)
 
 
 def _settler(seed: int, level: int, last: bool) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
@@ -131,7 +141,9 @@ def _settler(seed: int, level: int, last: bool) -> Callable[[tuple, pd.DataFrame
         rows = rows.sort_values(["size", "doc_id", "n"], na_position="last", ignore_index=True)
         undecided = np.flatnonzero((rows["pi"] > 0) & (rows["pi"] < 1))
         draw = random.Random(f"{seed} {level} {name[0]} {name[1]}")
-        rows.loc[undecided, "pi"] = flight(*(rows[c][undecided].tolist() for c in ("pi", "n", "size")), draw, last)
+        pi, n, size = (rows[c][undecided].tolist() for c in ("pi", "n", "size"))
+        (land if last else flight)(pi, n, size, sorted(range(len(pi)), key=lambda k: -size[k]), draw)
+        rows.loc[undecided, "pi"] = pi
         return rows
 
     return settle
