@@ -69,7 +69,7 @@ def terms(text: Column) -> Column:
 
 
 def lines(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, "\n", -1), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def _vectors(df: dict[str, int], n: int, templates: dict) -> tuple[list[tuple[str, str, float]], list[str]]:
