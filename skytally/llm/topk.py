@@ -119,8 +119,9 @@ def nearest(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id", vect
     packed = [F.collect_list(F.struct("vec_id", "v")).alias("members")]
     asked = asked.groupBy("length", "q").agg(*packed).withColumnRenamed("members", "queries")
     held = whole.withColumn("b", F.pmod(hashed, F.lit(blocks)).cast("int")).groupBy("length", "b").agg(*packed)
-    # each block of rows meets each block of queries
-    met = held.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).join(asked, ["length", "q"])
+    # each block of rows meets each block of queries, a key for each pair: no block gathers all its partners
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    met = held.withColumn("q", every(query_blocks)).join(asked.withColumn("b", every(blocks)), ["length", "b", "q"])
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
