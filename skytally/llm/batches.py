@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from skytally.llm.store import saved
 from skytally.llm.tokens import WHITE_SPACE, hashed_words
 
-BATCH_WORDS = 1 << 20
+BATCH_WORDS = 1 << 19
 #: Keys that meet in one bucket, about.
-BUCKET_KEYS = 1 << 21
+BUCKET_KEYS = 1 << 19
 
 
 def pack(values: np.ndarray) -> bytes:
