@@ -28,6 +28,8 @@ from skytally.streaming.eventtime import has_watermark, with_watermark
 STRATEGIES = ("window", "explode", "panes", "runs")
 BATCH_ONLY = ("panes", "runs")
 DEFAULT_DELAY = timedelta(seconds=30)
+# Tasks that copy the rows of a key and window length on a stream, at most.
+KEY_PARTS = 16
 
 
 def micros(span: timedelta) -> int:
@@ -160,7 +162,7 @@ def _by_window(rows, time, size, slide, keys, measures, bounds, delay) -> DataFr
 
 
 def _by_explode(rows, time, size, slide, keys, measures, bounds, delay) -> DataFrame:
-    """Copy each row to the ends of its windows, then group. The copies of a task are merged before the shuffle.
+    """Copy each row to the ends of its windows, then group.
 
     On a stream the watermark sits on the window end and allows for the window's size, so windows
     close exactly when a watermark on the event time would close them (size and delay being
@@ -170,6 +172,12 @@ def _by_explode(rows, time, size, slide, keys, measures, bounds, delay) -> DataF
     pane_end = F.window(f"`{time}`", duration(slide)).end.alias("__pane_end")
     used = dict.fromkeys([*keys, *(p.column for p in parts if p != ALL_ROWS)])
     placed = rows.select(*_named(list(used)), pane_end)
+    if rows.isStreaming:
+        # A micro-batch may be a single input partition. Rows with most windows in common meet in a task before
+        # they are copied: the copying is as wide as the shuffle, and most copies merge where they are made. A
+        # key is spread over the parts of a window, so that a hot one is not one task's work.
+        block = F.call_function("div", F.unix_micros(F.col("__pane_end").cast("timestamp")), _us(size / KEY_PARTS))
+        placed = placed.repartition(*_named(keys), block)
     step = F.expr(f"INTERVAL '{micros(slide) / 1e6:.6f}' SECOND")
     ends = F.transform(
         F.sequence(F.lit(0), F.lit(size // slide - 1)), lambda k: F.col("__pane_end") + k * step

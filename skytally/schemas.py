@@ -4,16 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-
-def _struct(**fields: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
-
-
-STRING, INT, LONG = T.StringType(), T.IntegerType(), T.LongType()
-DOUBLE, TIME = T.DoubleType(), T.TimestampType()
-
 # What a broker source delivers: the message text and the broker's record time.
-MESSAGE = _struct(value=STRING, timestamp=TIME)
+MESSAGE = T.StructType([T.StructField("value", T.StringType()), T.StructField("timestamp", T.TimestampType())])
 
 # Every field of an aircraft message. Read as text: blank strings stand for "missing" in numeric
 # fields, and a typed JSON read of "36000" would give null.
@@ -22,30 +14,11 @@ AIRCRAFT_FIELDS = (
     "altitude", "counter", "lon", "lat", "vr", "speed",
 )
 
-# Declared table `flights`; altitude is LONG for the hopping job and STRING for the tumbling one.
-FLIGHTS = _struct(
-    icao=STRING, flight=STRING, timestamp_verbose=STRING, msg_type=STRING, track=STRING,
-    timestamp=TIME, altitude=LONG, counter=STRING, lon=STRING, lat=STRING, vr=STRING,
-    speed=STRING, mytimestamp=TIME,
-)
-FLIGHTS_TEXT_ALTITUDE = T.StructType(
-    [T.StructField(f.name, STRING if f.name == "altitude" else f.dataType) for f in FLIGHTS]
-)
-
-# Decoded aircraft record, and the columns the `planes` view exposes.
-AIRCRAFT = _struct(
-    flight=STRING, timestamp_verbose=STRING, msg_type=INT, track=INT, timestamp=LONG,
-    altitude=INT, counter=LONG, lat=DOUBLE, lon=DOUBLE, icao=STRING, speed=INT,
-    equipment=STRING, tail=STRING,
-)
+# The columns the `planes` view exposes.
 PLANES_COLUMNS = (
     "icao", "flight", "timestamp_verbose", "msg_type", "track", "timestamp",
     "altitude", "counter", "lon", "lat", "speed", "mytimestamp",
 )
 
-# Flattened nested message.
-NESTED = _struct(field1=STRING, field2=STRING, field3nested1=STRING, timestamp=TIME)
+# The columns of the flattened nested message.
 NESTED_COLUMNS = ("field1", "field2", "field3nested1", "mytimestamp")
-
-# Key and count pair written to a topic; the count travels as text.
-KEY_COUNT = _struct(icao=STRING, count=STRING)

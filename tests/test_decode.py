@@ -1,12 +1,38 @@
 import json
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pytest import mark
 
 from skytally.operators.decode import decode_aircraft, decode_flights, decode_nested, rejects
-from skytally.schemas import AIRCRAFT, FLIGHTS, FLIGHTS_TEXT_ALTITUDE, MESSAGE
+from skytally.schemas import MESSAGE
 from tests.helpers import plan
 
+STRING, INT, LONG = T.StringType(), T.IntegerType(), T.LongType()
+DOUBLE, TIME = T.DoubleType(), T.TimestampType()
+
+
+def _struct(**fields):
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+# Declared table `flights`; altitude is LONG for the hopping job and STRING for the tumbling one.
+FLIGHTS = _struct(
+    icao=STRING, flight=STRING, timestamp_verbose=STRING, msg_type=STRING, track=STRING,
+    timestamp=TIME, altitude=LONG, counter=STRING, lon=STRING, lat=STRING, vr=STRING,
+    speed=STRING, mytimestamp=TIME,
+)
+FLIGHTS_TEXT_ALTITUDE = T.StructType(
+    [T.StructField(f.name, STRING if f.name == "altitude" else f.dataType) for f in FLIGHTS]
+)
+
+# Decoded aircraft record.
+AIRCRAFT = _struct(
+    flight=STRING, timestamp_verbose=STRING, msg_type=INT, track=INT, timestamp=LONG,
+    altitude=INT, counter=LONG, lat=DOUBLE, lon=DOUBLE, icao=STRING, speed=INT,
+    equipment=STRING, tail=STRING,
+)
+
 A = {
     "flight": "TST204", "timestamp_verbose": "2020-05-04 03:02:01.000009", "msg_type": "3", "track": "",
     "timestamp": 1588561321, "altitude": "21500", "counter": 517, "lon": "-12.5625", "icao": "B01C2D",
