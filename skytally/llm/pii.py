@@ -229,9 +229,13 @@ def classifier(candidates: DataFrame, model: list[dict]) -> list[float]:
     return table + priors
 
 
-def spans(docs: DataFrame, text: str = "text", accept: float = ACCEPT) -> DataFrame:
-    """``docs`` with ``__base`` and ``__spans``: the strict spans, and all spans, as (start, kind, end) in order."""
-    rows = saved(labelled(docs, text), "labelled")
+def spans(docs: DataFrame, text: str = "text", accept: float = ACCEPT, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``__base`` and ``__spans``: the strict spans, and all spans, as (start, kind, end) in order.
+
+    ``keep`` names the columns wanted, by default all; without the text, no text is written.
+    """
+    wanted = docs.columns if keep is None else keep
+    rows = saved(labelled(docs, text).select(*wanted, "__base", "__candidates"), "labelled")
     candidates = rows.select(F.explode("__candidates").alias("c"))
     patterns = saved(candidates.groupBy("c.kind", "c.votes").agg(F.count(F.lit(1)).alias("n")), "votes")
     model = reliabilities(patterns)
@@ -256,7 +260,7 @@ def _printed(column: str) -> Column:
 
 def op7(docs: DataFrame) -> DataFrame:
     """Counts, strict spans as a digest and all spans of all documents."""
-    found = spans(docs.select("doc_id", "text"))
+    found = spans(docs.select("doc_id", "text"), keep=["doc_id"])
     count = [_number_of(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return found.select("doc_id", *count, F.sha2(_printed("__base").cast("binary"), 256).alias("base_sha256"), _printed("__spans").alias("spans"))
 
