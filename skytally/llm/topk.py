@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 from skytally.llm.store import saved
 
 BLOCK_ROWS = 8192
-QUERY_ROWS = 256
-LEVELS = 16
+QUERY_ROWS = 512
+LEVELS = 8
 #: Segments between two looks at the bounds.
-LOOK = 64
+LOOK = 128
 
 
 class Index:
@@ -44,6 +44,8 @@ class Index:
 
     def __init__(self, rows: np.ndarray) -> None:
         self.rows = rows
+        # products of whole numbers in doubles are exact, and fast, while no sum reaches 2 ** 53
+        self.doubles = rows.astype(float) if rows.size and np.abs(rows).max() * rows.shape[1] < 1 << 26 else None
         self.low, self.high = rows.min(0), rows.max(0)
         self.quantum = np.maximum((self.high - self.low) // LEVELS + 1, 1)
         self.segments = [[], []]
@@ -62,7 +64,8 @@ class Index:
         plan = []
         for d in np.flatnonzero(weight):
             levels, members = self.segments[int(query[d] < 0)][d]
-            plan += [(int(weight[d]) * int(level) * int(self.quantum[d]), int(d), i) for i, level in enumerate(levels)]
+            # a segment of impact 0 adds nothing
+            plan += [(int(weight[d]) * int(level) * int(self.quantum[d]), int(d), i) for i, level in enumerate(levels) if level]
         plan.sort(key=lambda x: -x[0])
         # what each dimension can still add to a row it has not reached, and what quantising hides at most
         hidden = weight * (self.quantum - 1)
@@ -92,7 +95,10 @@ class Index:
             if alive.sum() <= max(4 * k, 64):
                 break
         found = np.flatnonzero(alive)
-        scores = self.rows[found] @ query
+        if self.doubles is not None and weight.max() < 1 << 26:
+            scores = (self.doubles[found] @ query.astype(float)).astype(np.int64)
+        else:
+            scores = self.rows[found] @ query
         order = np.lexsort((ids[found], -scores))[:wanted]
         return scores[order], found[order]
 
