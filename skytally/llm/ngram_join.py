@@ -7,14 +7,16 @@ tokens that many texts share last (their counts are gathered from all texts, the
 ``HOT_TOKENS`` are kept, and what is not among them only costs time), so a passage in a third of all texts
 brings those texts together only where they consist of it.
 
-The texts that share a first token are a group. A group's nodes form a tree by size: an inner node has
+The texts that share a first token are a group, as far as sizes allow: of a pair, the smaller text must have the
+token among fewer still, ``n - ceil(2 t n / (1 + t)) + 1``. A group's nodes form a tree by size: an inner node has
 the OR of its members' token bitmaps and the ranges of their sizes and bits, and two subtrees are traversed
 together until the greatest overlap that these allow is too small. Pairs that remain are verified on
 the sets themselves. This happens twice: first each member's most promising partner, then, with what
 that linked, only pairs that lie in different components so far. A group of thousands of near copies thus costs a
 link for each, not all pairs. Groups beyond ``GROUP`` nodes are split, and the parts meet in pairs.
 
-Nothing of all documents is collected or broadcast but the table of hot tokens, 16 bytes each. A null or empty text
+Nothing of all documents is collected or broadcast but the table of hot tokens, 16 bytes each, and a filter of
+bits that spares texts without partners the last shuffle, both of bounded size. A null or empty text
 has an empty set and is linked with nothing. Rows with equal or null keys are rows of their own; a
 component's id is its least key that is not null. Sets are compared as 64-bit hashes of their tokens. Other
 columns are not read, and kept by :func:`deduplicated`.
@@ -22,7 +24,7 @@ columns are not read, and kept by :func:`deduplicated`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +37,14 @@ from skytally.llm.store import saved
 from skytally.llm.tokens import combine, hashed_words, mix, rows_of
 
 SHINGLE, PERCENT = 4, 85
-HOT_TOKENS, HOT_IN_CHUNK, HOT = 1 << 18, 3, 16
+HOT_TOKENS, HOT_IN_CHUNK, HOT = 1 << 20, 2, 4
 CHUNK_WORDS = 1 << 20
-BITMAP_BITS = 2048
-BUCKET_ROWS = 1 << 20
+#: Bits of a token bitmap: two for each token, within these bounds.
+LEAST_BITS, MOST_BITS = 1 << 11, 1 << 15
+BUCKET_ROWS = 1 << 18
 GROUP, LEAF = 2048, 32
+#: Of the filter that keeps texts out of a shuffle that no pair needs: 16 MB.
+FILTER_BITS = 1 << 27
 _U = np.uint64
 
 
@@ -71,16 +76,52 @@ def nodes_of(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.where(size > 0, np.where(found == 0, _U(1), found), _U(0)).view(np.int64)
 
 
-def bitmaps(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    bits = np.zeros((len(starts) - 1, BITMAP_BITS), bool)
-    bits[rows_of(starts), tokens >> _U(64 - BITMAP_BITS.bit_length() + 1)] = True
-    return np.packbits(bits, axis=1)
+def bitmaps(tokens: np.ndarray, starts: np.ndarray) -> list[bytes]:
+    """A bitmap of the tokens of each row, as wide as their number asks for."""
+    out = [b""] * (len(starts) - 1)
+    size = np.diff(starts)
+    width = np.clip(1 << np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64), LEAST_BITS, MOST_BITS)
+    for w in np.unique(width).tolist():
+        for some in np.array_split(np.flatnonzero(width == w), max(1, int((width == w).sum()) * w >> 25)):
+            lengths = size[some]
+            at = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(starts[some], lengths)
+            bits = np.zeros((len(some), w), bool)
+            bits[np.repeat(np.arange(len(some)), lengths), tokens[at] >> _U(64 - w.bit_length() + 1)] = True
+            for i, row in zip(some.tolist(), np.packbits(bits, axis=1)):
+                out[i] = row.tobytes()
+    return out
+
+
+def folded(bits: np.ndarray) -> np.ndarray:
+    """Bitmaps of half the width: neighbouring bits are one."""
+    wide = np.unpackbits(bits.view(np.uint8), axis=1)
+    return np.packbits(wide.reshape(len(wide), -1, 2).any(2), axis=1).view(_U)
 
 
 def prefix_length(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
 
 
+def indexed_length(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """How many first tokens the smaller text of a pair can have the first common one among."""
+    return np.where(n > 0, n - (2 * percent * n + 99 + percent) // (100 + percent) + 1, 0)
+
+
+def _paired(token: np.ndarray, n: np.ndarray, early: np.ndarray) -> np.ndarray:
+    """Rows, in order of token and size, that a row of their token may pair with by size and place."""
+    if not len(token):
+        return np.zeros(0, bool)
+    at = np.arange(len(token))
+    good = np.zeros(len(token), bool)
+    good[:-1] = early[:-1] & (token[1:] == token[:-1]) & (PERCENT * n[1:] <= 100 * n[:-1])
+    # the nearest smaller row that has the token early
+    last = np.maximum.accumulate(np.where(early, at, -1))
+    before = np.concatenate([[-1], last[:-1]])
+    some = before >= 0
+    good[some] |= (token[before[some]] == token[some]) & (PERCENT * n[some] <= 100 * n[before[some]])
+    return good
+
+
 def described(docs: DataFrame, key: str, text: str) -> DataFrame:
     """A row for each text (its node, size, bitmap) and for each token several texts of a chunk share (``token``, ``df``)."""
     kind = docs.schema[key].dataType.simpleString()
@@ -108,7 +149,7 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
             maps = bitmaps(tokens, starts)
             size = frame.num_rows
             yield pa.RecordBatch.from_arrays(
-                [frame.column(0), pa.array(node), pa.array(np.diff(starts).astype(np.int64)), pa.array([m.tobytes() for m in maps], pa.binary()),
+                [frame.column(0), pa.array(node), pa.array(np.diff(starts).astype(np.int64)), pa.array(maps, pa.binary()),
                  pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64())], names,
             )
             for i in range(size):
@@ -123,6 +164,22 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
     return saved(docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(describe, schema), "described")
 
 
+def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens in order and their counts: those above the count that ``HOT_TOKENS`` of them reach at most."""
+    shared = counts.groupBy("token").agg(F.sum("df").alias("df")).filter(F.col("df") >= HOT)
+    shared = saved(shared.withColumn("grade", F.floor(8 * F.log2(F.col("df").cast("double"))).cast("int")), "shared")
+    least, total = 0, 0
+    for grade, n in sorted(shared.groupBy("grade").count().collect(), reverse=True):  # 8 * 63 rows at most
+        if total + n > HOT_TOKENS:
+            least = grade + 1
+            break
+        total += n
+    found = shared.filter(F.col("grade") >= least).select("token", "df").toArrow()  # HOT_TOKENS rows at most, 16 bytes each
+    tokens, df = found.column("token").to_numpy().view(_U), found.column("df").to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], df[order]
+
+
 def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_rows: int) -> DataFrame:
     """``group, node``: groups of two nodes or more that share a first token. Tokens of the same nodes are one group."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
@@ -145,25 +202,36 @@ def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_r
             wanted[once] = length[once]
             inside = (np.arange(len(tokens)) - starts[row]) < wanted[row]
             chosen = order[inside]
-            token, owner = tokens[chosen], node[row[chosen]]
+            token, of = tokens[chosen], row[chosen]
+            size = np.diff(starts)
+            early = (np.arange(len(tokens)) - starts[row])[inside] < indexed_length(size)[of]
+            sized = (2 * size[of] + early).astype(np.uint32)
             order = np.argsort(token)
-            token, owner = token[order], owner[order]
+            token, owner, sized = token[order], node[of][order], sized[order]
             bucket = ((token >> _U(32)) * _U(buckets)) >> _U(32)
             edges = np.searchsorted(bucket, np.arange(buckets + 1).astype(_U))
             full = np.flatnonzero(np.diff(edges))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(full.astype(np.int32)), pa.array([token[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary()),
-                 pa.array([owner[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary())], ["bucket", "tokens", "nodes"],
+                 pa.array([owner[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary()),
+                 pa.array([sized[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary())], ["bucket", "tokens", "nodes", "sizes"],
             )
 
     def grouped(frame: pa.Table) -> pa.Table:
         token = np.concatenate([np.frombuffer(x, _U) for x in frame.column("tokens").to_pylist()])
         owner = np.concatenate([np.frombuffer(x, np.int64) for x in frame.column("nodes").to_pylist()])
-        order = np.lexsort((owner, token))
-        token, owner = token[order], owner[order]
+        sized = np.concatenate([np.frombuffer(x, np.uint32) for x in frame.column("sizes").to_pylist()]).astype(np.int64)
+        order = np.lexsort((owner, sized >> 1, token))
+        token, owner, sized = token[order], owner[order], sized[order]
         fresh = np.ones(len(token), bool)
         fresh[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
-        token, owner = token[fresh], owner[fresh]
+        token, owner, sized = token[fresh], owner[fresh], sized[fresh]
+        near = _paired(token, sized >> 1, (sized & 1).astype(bool))
+        token, owner = token[near], owner[near]
+        order = np.lexsort((owner, token))
+        token, owner = token[order], owner[order]
+        if not len(token):
+            return pa.table({"group": pa.array([], pa.int64()), "node": pa.array([], pa.int64())})
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         size = np.diff(np.append(first, len(token)))
         name = mix(np.add.reduceat(mix(owner.view(_U)), first) + size.astype(_U))
@@ -174,7 +242,7 @@ def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_r
         member = np.repeat(good, size)
         return pa.table({"group": np.repeat(name, size)[member].view(np.int64), "node": owner[member]})
 
-    sent = docs.select(text).mapInArrow(first_tokens, "bucket int, tokens binary, nodes binary")
+    sent = docs.select(text).mapInArrow(first_tokens, "bucket int, tokens binary, nodes binary, sizes binary")
     return saved(sent.groupBy("bucket").applyInArrow(grouped, "group long, node long").distinct(), "groups")
 
 
@@ -232,8 +300,40 @@ class Tree:
             yield i[x], j[y], overlap[x, y]
 
 
+class Side:
+    """The members of a group's part, a tree for each width of bitmaps and, folded, for the width below."""
+
+    def __init__(self, at: np.ndarray, size: np.ndarray, component: np.ndarray, maps: pa.Array) -> None:
+        self.size, self.component = size, component
+        held = maps.take(pa.array(at)).to_pylist()
+        width = np.array([len(m) for m in held])
+        self.members = {w: at[width == w] for w in np.unique(width).tolist()}
+        self.bits = {w: np.frombuffer(b"".join(m for m in held if len(m) == w), _U).reshape(-1, w // 8) for w in self.members}
+        self.trees: dict[tuple[int, int], Tree] = {}
+
+    def tree(self, width: int, as_width: int) -> Tree:
+        if (width, as_width) not in self.trees:
+            bits = self.bits[width] if width == as_width else folded(self.bits[width])
+            at = self.members[width]
+            self.trees[width, as_width] = Tree(self.size[at], bits, self.component[at])
+        return self.trees[width, as_width]
+
+    def pairs(self, other: Side) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Sizes of similar sets lie within PERCENT, so widths that differ by more than one step never pair."""
+        for a in self.members:
+            for b in other.members:
+                least = min(a, b)
+                if max(a, b) > 2 * least or (self is other and a > b):
+                    continue
+                for x, y, overlap in self.tree(a, least).pairs(other.tree(b, least)):
+                    yield self.members[a][x], other.members[b][y], overlap
+
+
 def _candidates(members: DataFrame, best_only: bool) -> DataFrame:
-    """``a, b``: pairs of nodes that may be similar, of each group of ``members`` (group, node, n, bitmap, component)."""
+    """``a, b``: pairs of nodes that may be similar, of each group of ``members`` (group, node, n, bitmap, component).
+
+    With ``best_only``, each member's most promising pair, and every member of any pair as a pair with itself.
+    """
     sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("__size"))
     parts = F.ceil(F.col("__size") / GROUP).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("__parts")).cast("int")
@@ -255,22 +355,18 @@ def _candidates(members: DataFrame, best_only: bool) -> DataFrame:
             for k in range(len(lists)):
                 at = np.arange(ends[k], ends[k + 1])
                 at = at[np.lexsort((node[at], n[at]))]
-                bits = np.frombuffer(b"".join(maps.take(pa.array(at)).to_pylist()), np.uint64).reshape(len(at), -1)
                 i, j = frame.column("i")[k].as_py(), frame.column("j")[k].as_py()
-                where = [np.flatnonzero(part[at] == p) for p in dict.fromkeys((i, j))]
-                trees = [Tree(n[at[w]], bits[w], component[at[w]]) for w in where if len(w)]
-                if not trees or (i != j and len(trees) < 2):
-                    continue
-                found = list(trees[0].pairs(trees[-1]))
+                sides = [Side(at[part[at] == p], n, component, maps) for p in dict.fromkeys((i, j))]
+                found = [(node[x], node[y], overlap) for x, y, overlap in sides[0].pairs(sides[-1])]
                 if not found:
                     continue
                 a, b, overlap = (np.concatenate(x) for x in zip(*found))
-                a, b = node[at[where[0]]][a], node[at[where[-1]]][b]
-                if best_only:  # each member's most promising partner
+                if best_only:
+                    any_pair = np.unique(np.concatenate([a, b]))
                     order = np.lexsort((a, -overlap, b))
                     a, b = a[order], b[order]
                     first = np.concatenate([[True], b[1:] != b[:-1]])
-                    a, b = a[first], b[first]
+                    a, b = np.concatenate([a[first], any_pair]), np.concatenate([b[first], any_pair])
                 left.append(np.minimum(a, b))
                 right.append(np.maximum(a, b))
             if left:
@@ -279,6 +375,31 @@ def _candidates(members: DataFrame, best_only: bool) -> DataFrame:
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
 
+def _among(rows: DataFrame, column: str) -> Callable[[Column], Column]:
+    """Whether a key's hash may be among those of ``column``; never no for one that is.
+
+    A Bloom filter of 16 bits a row, ``FILTER_BITS`` at most: beyond that it lets more rows pass, no fewer.
+    """
+    bits = 1 << min(FILTER_BITS.bit_length() - 1, max(10, (16 * rows.count()).bit_length()))
+    place = F.explode(F.array(F.col("h").bitwiseAND(F.lit(bits - 1)), F.shiftright("h", 32).bitwiseAND(F.lit(bits - 1)))).alias("place")
+    words = rows.select(F.xxhash64(column).alias("h")).select(place).groupBy(F.shiftright("place", 6).alias("word"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))
+    found = words.agg(F.bit_or(one).alias("set")).toArrow()  # bits / 64 rows at most
+    table = np.zeros(bits // 64, np.int64)
+    table[found.column("word").to_numpy()] = found.column("set").to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(table.view(_U))
+
+    @F.arrow_udf(T.BooleanType())
+    def among(hashes: pa.Array) -> pa.Array:
+        h = hashes.to_numpy(zero_copy_only=False)
+        out = np.ones(len(h), bool)
+        for x in (h & (bits - 1), (h >> 32) & (bits - 1)):
+            out &= (shared.value[x >> 6] >> (x & 63).astype(_U)) & _U(1) == 1
+        return pa.array(out)
+
+    return among
+
+
 @F.arrow_udf(T.BooleanType())
 def _similar(left: pa.Array, right: pa.Array) -> pa.Array:
     out = []
@@ -292,19 +413,21 @@ def _similar(left: pa.Array, right: pa.Array) -> pa.Array:
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, node, n, component, component_id`` of every row: its set's hash and size, the least node and least key it reaches."""
     rows = described(docs, key, text)
-    shared = rows.filter("token IS NOT NULL").groupBy("token").agg(F.sum("df").alias("df")).filter(F.col("df") >= HOT)
-    top = shared.orderBy(F.desc("df"), "token").limit(HOT_TOKENS).toArrow()  # 16 bytes a row
-    hot_tokens, hot_counts = top.column("token").to_numpy().view(_U), top.column("df").to_numpy()
-    order = np.argsort(hot_tokens)
+    hot = _most_frequent(rows.filter("token IS NOT NULL"))
     rows = rows.filter("token IS NULL").drop("token", "df")
     nodes = saved(
         rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.min("key").alias("least")), "nodes"
     )
     length = F.col("n") - F.floor((PERCENT * F.col("n") + 99) / 100) + 1
     n_rows = nodes.agg(F.sum(length)).first()[0] or 0
-    groups = _sharing(docs, text, (hot_tokens[order], hot_counts[order]), int(n_rows))
-    wanted = groups.select("node").distinct().join(nodes.select("node", "least"), "node").select(F.col("node").alias("__node"), F.col("least").alias("__least"))
-    texts = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).join(wanted, F.col("__key").eqNullSafe(F.col("__least")))
+    groups = _sharing(docs, text, hot, int(n_rows))
+    members = saved(groups.join(nodes.select("node", "n", "bitmap"), "node"), "members")
+    pairs = saved(_candidates(members.withColumn("component", F.col("node")), True), "pairs")
+    # sets are needed of those only that the bitmaps leave a partner
+    wanted = pairs.filter("a = b").join(nodes, F.col("a") == F.col("node")).select(F.col("node").alias("__node"), F.col("least").alias("__least"))
+    wanted = saved(wanted, "wanted")
+    texts = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
+    texts = texts.filter(_among(wanted, "__least")(F.xxhash64("__key"))).join(wanted, F.col("__key").eqNullSafe(F.col("__least")))
 
     def whole(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -321,9 +444,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         a, b = (held.select(F.col("node").alias(c), F.col("tokens").alias(f"t{c}")) for c in "ab")
         return pairs.join(a, "a").join(b, "b").filter(_similar(F.col("ta"), F.col("tb"))).select("a", "b")
 
-    members = saved(groups.join(nodes.select("node", "n", "bitmap"), "node"), "members")
-    alone = members.withColumn("component", F.col("node"))
-    links = saved(verified(_candidates(alone, True)), "links")
+    links = saved(verified(pairs.filter("a < b")), "links")
     linked = saved(components(links), "components").withColumnRenamed("node", "__node").withColumnRenamed("component", "__component")
     known = members.join(linked, F.col("node") == F.col("__node"), "left").withColumn("component", F.coalesce("__component", "node"))
     # groups that are one component by now hold nothing new
@@ -339,6 +460,22 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     return found.select(F.col("key").alias(key), "node", "n", "component", own.alias("component_id"))
 
 
+SQL = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM split),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(x, y) AS (SELECT doc_id, doc_id FROM sets UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT doc_id, len(s) AS n_shingles, (SELECT min(y) FROM reach WHERE x = doc_id) AS component_id FROM sets
+"""
+
+
 def op6(docs: DataFrame) -> DataFrame:
     """Size of set and component of all documents."""
     return classes(docs.select("doc_id", "text")).select("doc_id", F.col("n").alias("n_shingles"), "component_id")

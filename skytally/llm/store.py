@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from skytally.session import work_dir
 
 #: Rows and bytes of one Arrow batch: a batch of long texts must fit a Python worker several times over.
-BATCH_ROWS = 2048
-BATCH_BYTES = "16m"
+BATCH_ROWS = 1024
+BATCH_BYTES = "4m"
 
 
 def configured(spark: SparkSession) -> SparkSession:
