@@ -61,7 +61,7 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.op2(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(ngram_join.SQL)
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.op6(table(spark, sf_dir, "documents"))
 

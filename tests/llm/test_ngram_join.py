@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skytally.llm import ngram_join
@@ -90,7 +91,10 @@ def test_deduplicated_keeps_one_of_each(spark):
     assert ngram_join.deduplicated(docs.limit(0)).count() == 0
 
 
-def test_tree_finds_every_pair_that_may_be_similar():
+@pytest.mark.parametrize("least", [64, 1 << 11])
+def test_trees_find_every_pair_that_may_be_similar(monkeypatch, least):
+    """With narrow bitmaps, sets of several widths."""
+    monkeypatch.setattr(ngram_join, "LEAST_BITS", least)
     pick = np.random.default_rng(1)
     size = np.sort(pick.integers(5, 60, 300))
     sets = [np.unique(pick.integers(0, 80, n).astype(np.uint64)) for n in size]
@@ -99,9 +103,9 @@ def test_tree_finds_every_pair_that_may_be_similar():
     sets, size = [sets[i] for i in order], size[order]
     starts = np.concatenate([[0], np.cumsum(size)])
     spread = [s * np.uint64(0x9E3779B97F4A7C15) for s in sets]
-    bits = np.frombuffer(ngram_join.bitmaps(np.concatenate(spread), starts).tobytes(), np.uint64).reshape(len(sets), -1)
-    tree = ngram_join.Tree(size.astype(np.int64), bits, np.arange(1, len(sets) + 1))
-    found = {(min(x, y), max(x, y)) for a, b, _ in tree.pairs(tree) for x, y in zip(a.tolist(), b.tolist())}
+    maps = pa.array(ngram_join.bitmaps(np.concatenate(spread), starts), pa.binary())
+    side = ngram_join.Side(np.arange(len(sets)), size.astype(np.int64), np.arange(1, len(sets) + 1), maps)
+    found = {(min(x, y), max(x, y)) for a, b, _ in side.pairs(side) for x, y in zip(a.tolist(), b.tolist())}
     for i in range(len(sets)):
         for j in range(i):
             both = len(np.intersect1d(sets[i], sets[j]))
