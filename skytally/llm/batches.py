@@ -115,13 +115,14 @@ def totals(batches: DataFrame, ask: Ask, n_keys: int) -> DataFrame:
                 b = Batch(row)
                 for kind, (keys, counts) in enumerate(ask(b)):
                     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-                    edges = np.searchsorted(bucket, np.arange(buckets + 1).astype(np.uint64))
-                    full = [i for i in range(buckets) if edges[i] < edges[i + 1]]
+                    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else np.zeros(0, int)
+                    slices = list(zip(first, [*first[1:], len(keys)]))
+                    full = bucket[first].astype(np.int32)
                     yield pa.RecordBatch.from_pydict({
                         "kind": pa.array([kind] * len(full), pa.int32()), "bucket": pa.array(full, pa.int32()),
                         "batch": pa.array([b.batch] * len(full), pa.int64()), "part": pa.array([b.part] * len(full), pa.int32()),
-                        "keys": [keys[edges[i] : edges[i + 1]].tobytes() for i in full],
-                        "counts": [pack(counts[edges[i] : edges[i + 1]]) for i in full],
+                        "keys": pa.array([keys[i:j].tobytes() for i, j in slices], pa.binary()),
+                        "counts": pa.array([pack(counts[i:j]) for i, j in slices], pa.binary()),
                     })
 
     def added(name: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -133,13 +134,15 @@ def totals(batches: DataFrame, ask: Ask, n_keys: int) -> DataFrame:
         part = np.repeat(rows["part"].to_numpy(), [len(k) for k in keys])
         sums = np.stack([np.bincount(at, np.where(part == p, counts, 0), len(distinct)) for p in (0, 1)]).astype(np.int64)
         back = np.split(sums[:, at], ends[:-1], axis=1)
-        seen = np.array([np.count_nonzero(sums[0]), np.count_nonzero(sums.sum(0))], np.int64)
+        seen = [np.count_nonzero(sums[0]), np.count_nonzero(sums.sum(0))]
+        none = [None] * len(back)
         return pd.DataFrame({
-            "batch": [*rows["batch"], None], "kind": name[0], "bucket": name[1], "totals": [*[pack(x.ravel()) for x in back], pack(seen)]
-        }).astype({"batch": "Int64"})
+            "batch": [*rows["batch"], None], "kind": name[0], "bucket": name[1], "totals": [*[pack(x.ravel()) for x in back], None],
+            "seen_0": [*none, seen[0]], "seen": [*none, seen[1]],
+        }).astype({"batch": "Int64", "seen_0": "Int64", "seen": "Int64"})
 
     sent = batches.mapInArrow(asked, "kind int, bucket int, batch long, part int, keys binary, counts binary")
-    answers = sent.groupBy("kind", "bucket").applyInPandas(added, "batch long, kind int, bucket int, totals binary")
+    answers = sent.groupBy("kind", "bucket").applyInPandas(added, "batch long, kind int, bucket int, totals binary, seen_0 long, seen long")
     return saved(answers, "totals")
 
 
@@ -152,6 +155,6 @@ def answered(batches: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def distinct_keys(answers: DataFrame, kind: int) -> tuple[int, int]:
-    """Keys with a count in part 0, and in part 0 or 1: added up per bucket, a row for each."""
-    found = [unpack(r["totals"], np.int64) for r in answers.filter(f"batch IS NULL AND kind = {kind}").collect()]
-    return tuple(int(x) for x in np.sum(found, 0)) if found else (0, 0)
+    """Keys with a count in part 0, and in part 0 or 1."""
+    found = answers.filter(f"batch IS NULL AND kind = {kind}").agg(F.sum("seen_0"), F.sum("seen")).first()
+    return int(found[0] or 0), int(found[1] or 0)
