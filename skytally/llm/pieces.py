@@ -37,7 +37,7 @@ from skytally.llm.tokens import as_bytes, hash_spans, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 1
 VARIANTS = 4
-CACHE = 1 << 20
+CACHE = 1 << 19
 #: Parts of more symbols than this are encoded one by one.
 WIDE = 48
 _SPACE = "▁"
@@ -262,13 +262,14 @@ _MADE: dict = {}
 
 
 def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "ids", model: str = MODEL,
-            dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
-    """``docs`` with the ids of ``text`` in ``out``, varied by ``key``.
+            dropout: float = DROPOUT, seed: int = SEED, lossless: str | None = None) -> DataFrame:
+    """``docs`` with the ids of ``text`` in ``out``, varied by ``key``; in ``lossless``, if named, whether they decode to it.
 
     A pass of its own over the rows: as an expression, each use of the ids could encode again.
     """
     get = _shared(docs.sparkSession, model, dropout, seed)
-    schema = T.StructType([*docs.schema, T.StructField(out, T.ArrayType(T.IntegerType()))])
+    fields = [T.StructField(out, T.ArrayType(T.IntegerType()))]
+    schema = T.StructType([*docs.schema, *fields, *([T.StructField(lossless, T.BooleanType())] if lossless else [])])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,12 +278,14 @@ def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str =
             names = np.zeros(batch.num_rows, _U)
             if len(full):
                 names[full] = hash_spans(data, offsets[:-1][full], offsets[1:][full])
-            ids = get().encode(batch.column(text).to_pylist(), names)
+            texts, pieces = batch.column(text).to_pylist(), get()
+            ids = pieces.encode(texts, names)
+            same = [pa.array([pieces.decode(x) == t for x, t in zip(ids, texts)], pa.bool_())] if lossless else []
             ends = np.concatenate([[0], np.cumsum([0 if x is None else len(x) for x in ids])]).astype(np.int32)
             flat = np.concatenate([x for x in ids if x is not None] or [np.zeros(0, np.int32)])
             missing = pa.array([x is None for x in ids], pa.bool_())
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()), mask=missing if missing.true_count else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists, *same], schema.names)
 
     return docs.mapInArrow(encode, schema)
 
