@@ -59,9 +59,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and whether they decode to its text."""
     _ready(spark)
-    found = pieces.decoded(pieces.encoded(docs))
-    lossless = F.col("decoded").eqNullSafe(F.col("text"))
-    return found.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", lossless.alias("lossless"))
+    found = pieces.encoded(docs, lossless="lossless")
+    return found.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", "lossless")
 
 
 STAGES: list[tuple[str, Stage]] = [
