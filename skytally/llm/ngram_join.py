@@ -1,7 +1,7 @@
 """Joins texts whose sets of word n-grams have a high Jaccard similarity, exactly, by signature trees.
 
-A text's set holds hashes of its distinct runs of ``SHINGLE`` words; texts with equal sets are one
-node from the start. Two nodes can only be similar if they share one of the first tokens of their sets,
+A text's set holds hashes of its distinct runs of ``shingle`` words; texts with equal sets are one
+node from the start, and sets are similar from a Jaccard similarity of ``percent`` hundredths. Two nodes can only be similar if they share one of the first tokens of their sets,
 in any order of tokens common to all; the first ``n - ceil(t n) + 1`` will do. The order here puts
 tokens that many texts share last (their counts are gathered from all texts, the most frequent
 ``HOT_TOKENS`` are kept, and what is not among them only costs time), so a passage in a third of all texts
@@ -36,7 +36,9 @@ from skytally.llm.components import components
 from skytally.llm.store import saved
 from skytally.llm.tokens import combine, hashed_words, mix, rows_of
 
+#: What :func:`op6` and :func:`classes` go by, and what :func:`deduplicated` does.
 SHINGLE, PERCENT = 4, 85
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 HOT_TOKENS, HOT_IN_CHUNK, HOT = 1 << 20, 2, 4
 CHUNK_WORDS = 1 << 20
 #: Bits of a token bitmap: two for each token, within these bounds.
@@ -107,22 +109,22 @@ def indexed_length(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.where(n > 0, n - (2 * percent * n + 99 + percent) // (100 + percent) + 1, 0)
 
 
-def _paired(token: np.ndarray, n: np.ndarray, early: np.ndarray) -> np.ndarray:
+def _paired(token: np.ndarray, n: np.ndarray, early: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Rows, in order of token and size, that a row of their token may pair with by size and place."""
     if not len(token):
         return np.zeros(0, bool)
     at = np.arange(len(token))
     good = np.zeros(len(token), bool)
-    good[:-1] = early[:-1] & (token[1:] == token[:-1]) & (PERCENT * n[1:] <= 100 * n[:-1])
+    good[:-1] = early[:-1] & (token[1:] == token[:-1]) & (percent * n[1:] <= 100 * n[:-1])
     # the nearest smaller row that has the token early
     last = np.maximum.accumulate(np.where(early, at, -1))
     before = np.concatenate([[-1], last[:-1]])
     some = before >= 0
-    good[some] |= (token[before[some]] == token[some]) & (PERCENT * n[some] <= 100 * n[before[some]])
+    good[some] |= (token[before[some]] == token[some]) & (percent * n[some] <= 100 * n[before[some]])
     return good
 
 
-def described(docs: DataFrame, key: str, text: str) -> DataFrame:
+def described(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE) -> DataFrame:
     """A row for each text (its node, size, bitmap) and for each token several texts of a chunk share (``token``, ``df``)."""
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, node long, n long, bitmap binary, token long, df long"
@@ -144,7 +146,7 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
         key_type = pa.int64()
         for frame in frames:
             key_type = frame.column(0).type
-            tokens, starts = sets(frame.column(1))
+            tokens, starts = sets(frame.column(1), shingle)
             node = nodes_of(tokens, starts)
             maps = bitmaps(tokens, starts)
             size = frame.num_rows
@@ -180,7 +182,7 @@ def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], df[order]
 
 
-def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_rows: int) -> DataFrame:
+def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_rows: int, shingle: int, percent: int) -> DataFrame:
     """``group, node``: groups of two nodes or more that share a first token. Tokens of the same nodes are one group."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
     buckets = -(-n_rows // BUCKET_ROWS) or 1
@@ -188,7 +190,7 @@ def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_r
     def first_tokens(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_tokens, hot_counts = shared.value
         for frame in frames:
-            tokens, starts = sets(frame.column(0))
+            tokens, starts = sets(frame.column(0), shingle)
             node = nodes_of(tokens, starts)
             count = np.zeros(len(tokens), np.int64)
             if len(hot_tokens) and len(tokens):
@@ -196,7 +198,7 @@ def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_r
                 count = np.where(hot_tokens[at] == tokens, hot_counts[at], 0)
             row = rows_of(starts)
             order = np.lexsort((tokens, count, row))
-            length = prefix_length(np.diff(starts))
+            length = prefix_length(np.diff(starts), percent)
             _, once = np.unique(node, return_index=True)
             wanted = np.zeros(len(node), np.int64)
             wanted[once] = length[once]
@@ -204,7 +206,7 @@ def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_r
             chosen = order[inside]
             token, of = tokens[chosen], row[chosen]
             size = np.diff(starts)
-            early = (np.arange(len(tokens)) - starts[row])[inside] < indexed_length(size)[of]
+            early = (np.arange(len(tokens)) - starts[row])[inside] < indexed_length(size, percent)[of]
             sized = (2 * size[of] + early).astype(np.uint32)
             order = np.argsort(token)
             token, owner, sized = token[order], node[of][order], sized[order]
@@ -226,7 +228,7 @@ def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_r
         fresh = np.ones(len(token), bool)
         fresh[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
         token, owner, sized = token[fresh], owner[fresh], sized[fresh]
-        near = _paired(token, sized >> 1, (sized & 1).astype(bool))
+        near = _paired(token, sized >> 1, (sized & 1).astype(bool), percent)
         token, owner = token[near], owner[near]
         order = np.lexsort((owner, token))
         token, owner = token[order], owner[order]
@@ -249,8 +251,8 @@ def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_r
 class Tree:
     """A signature tree over nodes in order of size: per level the OR of bitmaps, ranges of sizes and of bits, a common component."""
 
-    def __init__(self, size: np.ndarray, bits: np.ndarray, component: np.ndarray) -> None:
-        self.size, self.bits, self.component = size, bits, component
+    def __init__(self, size: np.ndarray, bits: np.ndarray, component: np.ndarray, percent: int = PERCENT) -> None:
+        self.size, self.bits, self.component, self.percent = size, bits, component, percent
         self.count = np.bitwise_count(bits).sum(1).astype(np.int64)
         edges = np.arange(0, len(size), LEAF)
         level = [np.bitwise_or.reduceat(bits, edges), np.minimum.reduceat(size, edges), np.maximum.reduceat(size, edges), np.minimum.reduceat(self.count, edges)]
@@ -267,18 +269,18 @@ class Tree:
 
     def pairs(self, other: Tree) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Members of both trees that may be similar and lie in different components, with their greatest possible overlap."""
-        todo = [(len(self.levels) - 1, 0, len(other.levels) - 1, 0)]
+        todo, percent = [(len(self.levels) - 1, 0, len(other.levels) - 1, 0)], self.percent
         while todo:
             la, a, lb, b = todo.pop()
             if self is other and la == lb and a > b:
                 continue
             union_a, low_a, high_a, few_a, one_a = (x[a] for x in self.levels[la])
             union_b, low_b, high_b, few_b, one_b = (x[b] for x in other.levels[lb])
-            if (one_a and one_a == one_b) or 100 * high_a < PERCENT * low_b or 100 * high_b < PERCENT * low_a:
+            if (one_a and one_a == one_b) or 100 * high_a < percent * low_b or 100 * high_b < percent * low_a:
                 continue
             both = int(np.bitwise_count(union_a & union_b).sum())
             overlap = min(high_a - max(0, few_a - both), high_b - max(0, few_b - both))
-            if (100 + PERCENT) * overlap < PERCENT * (low_a + low_b):
+            if (100 + percent) * overlap < percent * (low_a + low_b):
                 continue
             if la == lb == 0:
                 yield from self.leaves(other, a, b)
@@ -292,7 +294,7 @@ class Tree:
         both = np.bitwise_count(self.bits[i][:, None] & other.bits[j][None]).sum(2).astype(np.int64)
         size_a, size_b = self.size[i][:, None], other.size[j][None]
         overlap = np.minimum(size_a - (self.count[i][:, None] - both), size_b - (other.count[j][None] - both))
-        good = ((100 + PERCENT) * overlap >= PERCENT * (size_a + size_b)) & (self.component[i][:, None] != other.component[j][None])
+        good = ((100 + self.percent) * overlap >= self.percent * (size_a + size_b)) & (self.component[i][:, None] != other.component[j][None])
         if self is other and a == b:
             good &= i[:, None] < j[None]
         x, y = np.nonzero(good)
@@ -303,8 +305,8 @@ class Tree:
 class Side:
     """The members of a group's part, a tree for each width of bitmaps and, folded, for the width below."""
 
-    def __init__(self, at: np.ndarray, size: np.ndarray, component: np.ndarray, maps: pa.Array) -> None:
-        self.size, self.component = size, component
+    def __init__(self, at: np.ndarray, size: np.ndarray, component: np.ndarray, maps: pa.Array, percent: int = PERCENT) -> None:
+        self.size, self.component, self.percent = size, component, percent
         held = maps.take(pa.array(at)).to_pylist()
         width = np.array([len(m) for m in held])
         self.members = {w: at[width == w] for w in np.unique(width).tolist()}
@@ -315,11 +317,11 @@ class Side:
         if (width, as_width) not in self.trees:
             bits = self.bits[width] if width == as_width else folded(self.bits[width])
             at = self.members[width]
-            self.trees[width, as_width] = Tree(self.size[at], bits, self.component[at])
+            self.trees[width, as_width] = Tree(self.size[at], bits, self.component[at], self.percent)
         return self.trees[width, as_width]
 
     def pairs(self, other: Side) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Sizes of similar sets lie within PERCENT, so widths that differ by more than one step never pair."""
+        """Sizes of similar sets lie within a factor of two, so widths that differ by more than one step never pair."""
         for a in self.members:
             for b in other.members:
                 least = min(a, b)
@@ -329,7 +331,7 @@ class Side:
                     yield self.members[a][x], other.members[b][y], overlap
 
 
-def _candidates(members: DataFrame, best_only: bool) -> DataFrame:
+def _candidates(members: DataFrame, best_only: bool, percent: int) -> DataFrame:
     """``a, b``: pairs of nodes that may be similar, of each group of ``members`` (group, node, n, bitmap, component).
 
     With ``best_only``, each member's most promising pair, and every member of any pair as a pair with itself.
@@ -356,7 +358,7 @@ def _candidates(members: DataFrame, best_only: bool) -> DataFrame:
                 at = np.arange(ends[k], ends[k + 1])
                 at = at[np.lexsort((node[at], n[at]))]
                 i, j = frame.column("i")[k].as_py(), frame.column("j")[k].as_py()
-                sides = [Side(at[part[at] == p], n, component, maps) for p in dict.fromkeys((i, j))]
+                sides = [Side(at[part[at] == p], n, component, maps, percent) for p in dict.fromkeys((i, j))]
                 found = [(node[x], node[y], overlap) for x, y, overlap in sides[0].pairs(sides[-1])]
                 if not found:
                     continue
@@ -400,29 +402,37 @@ def _among(rows: DataFrame, column: str) -> Callable[[Column], Column]:
     return among
 
 
-@F.arrow_udf(T.BooleanType())
-def _similar(left: pa.Array, right: pa.Array) -> pa.Array:
-    out = []
-    for x, y in zip(left, right):
-        a, b = (np.frombuffer(z.as_buffer(), _U) for z in (x, y))
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        out.append(100 * both >= PERCENT * (len(a) + len(b) - both))
-    return pa.array(out, pa.bool_())
+def _similar(percent: int) -> Callable[[Column, Column], Column]:
+    @F.arrow_udf(T.BooleanType())
+    def similar(left: pa.Array, right: pa.Array) -> pa.Array:
+        out = []
+        for x, y in zip(left, right):
+            a, b = (np.frombuffer(z.as_buffer(), _U) for z in (x, y))
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            out.append(100 * both >= percent * (len(a) + len(b) - both))
+        return pa.array(out, pa.bool_())
+
+    return similar
+
 
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``key, node, n, component, component_id`` of every row: its set's hash and size, the least node and least key it reaches.
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, node, n, component, component_id`` of every row: its set's hash and size, the least node and least key it reaches."""
-    rows = described(docs, key, text)
+    ``percent`` is 50 at least: bitmaps of sets that differ more in size are not compared.
+    """
+    if shingle < 1 or not 50 <= percent <= 100:
+        raise ValueError(f"runs of {shingle} words, {percent} percent")
+    rows = described(docs, key, text, shingle)
     hot = _most_frequent(rows.filter("token IS NOT NULL"))
     rows = rows.filter("token IS NULL").drop("token", "df")
     nodes = saved(
         rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.min("key").alias("least")), "nodes"
     )
-    length = F.col("n") - F.floor((PERCENT * F.col("n") + 99) / 100) + 1
+    length = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
     n_rows = nodes.agg(F.sum(length)).first()[0] or 0
-    groups = _sharing(docs, text, hot, int(n_rows))
+    groups = _sharing(docs, text, hot, int(n_rows), shingle, percent)
     members = saved(groups.join(nodes.select("node", "n", "bitmap"), "node"), "members")
-    pairs = saved(_candidates(members.withColumn("component", F.col("node")), True), "pairs")
+    pairs = saved(_candidates(members.withColumn("component", F.col("node")), True, percent), "pairs")
     # sets are needed of those only that the bitmaps leave a partner
     wanted = pairs.filter("a = b").join(nodes, F.col("a") == F.col("node")).select(F.col("node").alias("__node"), F.col("least").alias("__least"))
     wanted = saved(wanted, "wanted")
@@ -431,7 +441,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     def whole(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            tokens, starts = sets(frame.column(1))
+            tokens, starts = sets(frame.column(1), shingle)
             node = nodes_of(tokens, starts)
             yield pa.RecordBatch.from_arrays(
                 [frame.column(0), pa.array(node), pa.array([tokens[a:b].tobytes() for a, b in zip(starts, starts[1:])], pa.binary())], ["__node", "node", "tokens"]
@@ -442,7 +452,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     def verified(pairs: DataFrame) -> DataFrame:
         a, b = (held.select(F.col("node").alias(c), F.col("tokens").alias(f"t{c}")) for c in "ab")
-        return pairs.join(a, "a").join(b, "b").filter(_similar(F.col("ta"), F.col("tb"))).select("a", "b")
+        return pairs.join(a, "a").join(b, "b").filter(_similar(percent)(F.col("ta"), F.col("tb"))).select("a", "b")
 
     links = saved(verified(pairs.filter("a < b")), "links")
     linked = saved(components(links), "components").withColumnRenamed("node", "__node").withColumnRenamed("component", "__component")
@@ -450,7 +460,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     # groups that are one component by now hold nothing new
     apart = known.groupBy("group").agg(F.min("component").alias("__low"), F.max("component").alias("__high")).filter("__low <> __high")
     known = known.join(apart.select("group"), "group", "left_semi").select("group", "node", "n", "bitmap", "component")
-    more = saved(verified(_candidates(known, False)), "links")
+    more = saved(verified(_candidates(known, False, percent)), "links")
     linked = saved(components(links.union(more)), "components")
     named = nodes.select("node", "least").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -478,21 +488,24 @@ SELECT doc_id, len(s) AS n_shingles, (SELECT min(y) FROM reach WHERE x = doc_id)
 
 def op6(docs: DataFrame) -> DataFrame:
     """Size of set and component of all documents."""
-    return classes(docs.select("doc_id", "text")).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return classes(docs.select("doc_id", "text"), shingle=SHINGLE, percent=PERCENT).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
 
+def _node(shingle: int) -> Callable[[Column], Column]:
+    @F.arrow_udf(T.LongType())
+    def node(texts: pa.Array) -> pa.Array:
+        return pa.array(nodes_of(*sets(texts, shingle)))
 
-@F.arrow_udf(T.LongType())
-def node(texts: pa.Array) -> pa.Array:
-    return pa.array(nodes_of(*sets(texts)))
+    return node
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE, percent: int = NEAR_PERCENT) -> DataFrame:
     """``docs`` with one row of each component: the one whose key is its id. Rows without words all stay."""
-    found = saved(classes(docs.select(key, text), key, text).filter("n > 0"), "classes")
+    found = saved(classes(docs.select(key, text), key, text, shingle, percent).filter("n > 0"), "classes")
     # of texts with one key in one component, the one of the least node
     first = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min(F.struct("node", key)).alias("__first"))
     kept = first.select(F.col(f"__first.{key}").alias("__key"), F.col("__first.node").alias("__kept"))
-    marked = docs.withColumn("__node", node(F.col(text)))
+    marked = docs.withColumn("__node", _node(shingle)(F.col(text)))
     own: Column = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__node") == F.col("__kept"))
     chosen = marked.filter("__node <> 0").join(kept, own, "left_semi").dropDuplicates([key, "__node"])
     return chosen.union(marked.filter("__node = 0")).drop("__node")

@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from skytally.llm import ngram_join
 from skytally.llm.components import components
 from skytally.llm.store import table
@@ -118,3 +119,39 @@ def test_components(spark):
     got = dict(components(spark.createDataFrame(path, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(51)}, 100: 100, 150: 100, 200: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def five_word_least(rows):
+    """Least key of each row's component by five words and 0.8, rows without words left out."""
+    sets = {k: shingles(t, 5) for k, t in rows}
+    least = {k: k for k, s in sets.items() if s}
+    links = [(a, b) for a in least for b in least if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    while any(least[a] != least[b] for a, b in links):
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    return least, links
+
+
+@pytest.mark.parametrize("group", [8, 2048])
+def test_pipeline_stage_equals_brute_force_of_five_words(spark, monkeypatch, group):
+    """Also pairs that are similar by five words from 0.8, not by four from 0.85."""
+    monkeypatch.setattr(ngram_join, "GROUP", group)
+    pick = random.Random(8)
+    texts = near_copies(4, 30, 100, 5) + near_copies(5, 30, 300, 14) + near_copies(6, 30, 40, 3) + ["a b c d", "A b c d", "a b c", "", "a b c d e"]
+    # one sentence more: 44 of 52 shingles of four words are common, 43 of 51 of five
+    texts += [" ".join(f"{x}{i}" for i in range(n)) for x in "qrs" for n in (47, 55)]
+    rows = list(enumerate(texts))
+    pick.shuffle(rows)
+    least, links = five_word_least(rows)
+    four = {k: shingles(t) for k, t in rows}
+    apart = [(a, b) for a, b in links if 100 * len(four[a] & four[b]) < 85 * len(four[a] | four[b])]
+    assert apart
+    docs = documents(spark, [(k, t, "en", "a", 1) for k, t in rows])
+    got = {r.doc_id for r in corpus_pipeline.without_copies(spark, docs, "").collect()}
+    assert got == {k for k, c in least.items() if k == c} | {k for k, t in rows if not t}
+
+
+def test_rules_out_of_range(spark):
+    for rule in ({"shingle": 0}, {"percent": 49}, {"percent": 101}):
+        with pytest.raises(ValueError):
+            ngram_join.classes(documents(spark), **rule)
