@@ -3,15 +3,16 @@
 The vocabulary is a SentencePiece BPE model with byte fallback. A text is cut where no piece can span,
 before runs of spaces and around line breaks, and each part is encoded by the usual agenda: of all neighbouring symbols
 whose concatenation is a piece, the best is merged first, of equals the leftmost. With dropout, a candidate merge is skipped when a
-hash of the seed, the part, its variant, the candidate's place and its piece falls under the rate. The
-variant, one of ``VARIANTS``, is a hash of the row's key and the part's number, so the same word is
-cut in several ways over a corpus and always in the same ways on a rerun.
+hash of the seed, the row's key, the part's number, the candidate's place and its piece falls under the rate: each
+occurrence of a word has draws of its own, and the same ones on a rerun.
 
 Whatever is skipped, the pieces spell the text: decoding gives it back exactly. A text's own U+2581,
 which the model writes for a space, is spelled in bytes.
 
-A part and variant that occurred lately is taken from a table of ``CACHE`` entries, whose older half goes
-when the newer one is full; the others of a batch are encoded together, a round of merges at a time, in numpy arrays.
+How a part is cut depends only on which of the merges it considers are skipped. A table of ``CACHE`` entries, emptied when
+full, holds parts cut lately: without skips, and from there by what was skipped. An entry lists the merges considered on its
+way that were not skipped; an occurrence whose own draws skip none of them is cut alike. The other occurrences of
+a batch are encoded together, a round of merges at a time, in numpy arrays.
 
 A null text has null ids; an empty one none, and decodes as empty. Rows with a null key count as key
 ''. Repeated rows get equal ids. All columns are kept; the new ones must be named apart by the caller.
@@ -22,7 +23,6 @@ from __future__ import annotations
 import heapq
 import re
 import uuid
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,8 +36,11 @@ from skytally.llm.tokens import as_bytes, hash_spans, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 1
-VARIANTS = 4
-CACHE = 1 << 19
+CACHE = 1 << 18
+#: Parts looked up at a time, and merges of an entry: what is skipped of them is one number.
+LOOK_UP, MOST = 1 << 16, 52
+#: Marks of what was looked up in vain: only what is so again is entered.
+SEEN = 1 << 22
 #: Parts of more symbols than this are encoded one by one.
 WIDE = 48
 _SPACE = "▁"
@@ -53,6 +56,13 @@ def vocabulary(model: str = MODEL) -> list[tuple[str, float, bool]]:
     return [("" if x else sp.id_to_piece(i), sp.get_score(i), sp.is_byte(i)) for i, x in enumerate(apart)]
 
 
+def _inside(ends: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the merges of the entries given are, to which of them each belongs, and its place there."""
+    many = ends[entry + 1] - ends[entry]
+    place = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+    return place + np.repeat(ends[entry], many), np.repeat(np.arange(len(entry)), many), place
+
+
 class Pieces:
     """An encoder and decoder. Holds the vocabulary's tables and the parts encoded lately."""
 
@@ -63,7 +73,7 @@ class Pieces:
             bytes([int(p[3:5], 16)]) if byte else p.replace(_SPACE, " ").encode() for p, _, byte in pieces
         ]
         order = sorted(range(len(pieces)), key=lambda i: -pieces[i][1])
-        self.rank = np.zeros(len(pieces), np.int64)
+        self.rank = np.zeros(len(pieces), np.int32)
         place, before = -1, None
         for i in order:  # equal scores, equal ranks
             place, before = (place, before) if pieces[i][1] == before else (place + 1, pieces[i][1])
@@ -73,8 +83,7 @@ class Pieces:
             for at in range(1, len(p)):
                 if p[:at] in self.ids and p[at:] in self.ids:
                     pairs[self.ids[p[:at]] * len(pieces) + self.ids[p[at:]]] = i
-        self.pair = np.array(sorted(pairs), np.int64)
-        self.merged = np.array([pairs[k] for k in self.pair.tolist()], np.int64)
+        self._spread(np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int64))
         self.size = len(pieces)
         self.of_char = np.full(0x110000, -1, np.int32)
         for p, i in self.ids.items():
@@ -83,8 +92,42 @@ class Pieces:
         self.of_char[0x20], self.of_char[ord(_SPACE)] = self.ids.get(_SPACE, -1), -1
         self.rate = int(dropout * (1 << 24))
         self.seed = seed
-        self.young: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
-        self.old: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
+        self._forget()
+
+    def _spread(self, pair: np.ndarray, merged: np.ndarray) -> None:
+        """A hash table of pairs; a pair whose slot is taken is in the next free one."""
+        bits = max(4, (4 * len(pair)).bit_length())
+        self.shift = _U(64 - bits)
+        self.pair, self.merged = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        slot = self._slot(pair)
+        while len(pair):
+            _, first = np.unique(slot, return_index=True)
+            first = first[self.pair[slot[first]] < 0]
+            self.pair[slot[first]], self.merged[slot[first]] = pair[first], merged[first]
+            left = np.ones(len(pair), bool)
+            left[first] = False
+            pair, merged, slot = pair[left], merged[left], (slot[left] + 1) & (len(self.pair) - 1)
+
+    def _slot(self, pair: np.ndarray) -> np.ndarray:
+        return ((pair.astype(_U) * _U(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _of_pair(self, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The piece of each pair, and whether it has one."""
+        slot = self._slot(pair)
+        held = self.pair[slot]
+        while True:
+            taken = np.nonzero((held != pair) & (held >= 0))
+            if not len(taken[0]):
+                return self.merged[slot], held == pair
+            slot[taken] = (slot[taken] + 1) & (len(self.pair) - 1)
+            held[taken] = self.pair[slot[taken]]
+
+    def _forget(self) -> None:
+        """Empties the table: entries by part or by an entry and what is skipped of its merges; ids, kept and skipped merges of each."""
+        self.entries: dict[str | tuple[int, int], int] = {}
+        self.results: list[bytes] = []
+        self.kept, self.skipped = ((np.zeros(0, _U), np.zeros(1, np.int64)) for _ in range(2))
+        self.seen = np.zeros(SEEN, bool)
 
     def symbols(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the characters of all parts, or of their bytes, and where each part's begin."""
@@ -102,20 +145,24 @@ class Pieces:
             counts += np.bincount(owner, sizes - 1, len(counts)).astype(np.int64)
         return ids, np.concatenate([[0], np.cumsum(counts)])
 
-    def _candidates(self, left: np.ndarray, right: np.ndarray, start: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and piece of each pair of neighbours; no rank for pairs that make no piece or are skipped."""
-        code = left * self.size + right
-        at = np.minimum(np.searchsorted(self.pair, code), len(self.pair) - 1)
-        piece = self.merged[at]
-        good = (self.pair[at] == code) & (left >= 0) & (right >= 0)
-        if self.rate:
-            drawn = mix(key ^ (start.astype(_U) * _U(0x9E3779B97F4A7C15) + piece.astype(_U) * _U(0xC2B2AE3D27D4EB4F)))
-            good &= (drawn >> _U(40)) >= _U(self.rate)
-        return np.where(good, self.rank[piece], _NONE), piece
-
-    def keys(self, parts: list[str], variants: list[int]) -> np.ndarray:
-        checks = np.array([zlib.crc32(p.encode()) for p in parts], _U)
-        return mix((checks << _U(8)) + np.array(variants, _U) + (_U(self.seed) << _U(40)))
+    def _skipped(self, key: np.ndarray, merge: np.ndarray) -> np.ndarray:
+        return (mix(key ^ merge) >> _U(40)) < _U(self.rate)
+
+    def _candidates(self, left: np.ndarray, right: np.ndarray, start: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Rank and piece of each pair of neighbours, no rank for pairs that make no piece or are skipped.
+
+        Then where there is a draw, and the merges drawn and whether they are skipped.
+        """
+        piece, good = self._of_pair(np.where((left >= 0) & (right >= 0), left.astype(np.int64) * self.size + right, self.size * self.size))
+        drawn = np.nonzero(good) if self.rate else tuple(np.zeros(0, np.int64) for _ in good.shape)
+        merge = start[drawn].astype(_U) * _U(0x9E3779B97F4A7C15) + piece[drawn].astype(_U) * _U(0xC2B2AE3D27D4EB4F)
+        skipped = self._skipped(key[drawn[0]], merge)
+        good[tuple(x[skipped] for x in drawn)] = False
+        return np.where(good, self.rank[piece], np.int32(_NONE)), piece, drawn, merge, skipped
+
+    def keys(self, parts: list[str], occurrences: np.ndarray | list[int]) -> np.ndarray:
+        """What each part's draws go by; ``occurrences`` are numbers of 64 bits."""
+        return mix(np.asarray(occurrences, _U) + (_U(self.seed) << _U(40)))
 
     def agenda(self, part: str, key: int) -> list[int]:
         """One part, by a heap of candidates."""
@@ -128,7 +175,7 @@ class Pieces:
         def offer(i: int) -> None:
             j = after[i] if i >= 0 else n
             if j < n:
-                rank, piece = self._candidates(*(np.array([x], np.int64) for x in (symbols[i], symbols[j], i)), boxed)
+                rank, piece, *_ = self._candidates(*(np.array([x], np.int64) for x in (symbols[i], symbols[j], i)), boxed)
                 if rank[0] != _NONE:
                     heapq.heappush(heap, (int(rank[0]), i, int(piece[0]), symbols[i], symbols[j]))
 
@@ -148,20 +195,21 @@ class Pieces:
             offer(i)
         return [s for s in symbols if s >= 0]
 
-    def _together(self, flat: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _together(self, flat: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, ...]:
         """Many parts of about one length: each round merges the best candidate of every part that has one.
 
-        Gives the ids of all parts, and how many each has.
+        Gives the ids of all parts, and how many each has; then the part, merge and skip of each draw.
         """
         width = int(lengths.max())
-        symbol = np.full((len(lengths), width + 1), -1, np.int64)
+        symbol = np.full((len(lengths), width + 1), -1, np.int32)
         symbol[:, :width][np.arange(width) < lengths[:, None]] = flat
         final = symbol.copy()
-        start = np.broadcast_to(np.arange(width + 1), symbol.shape).copy()
+        start = np.broadcast_to(np.arange(width + 1, dtype=np.int32), symbol.shape).copy()
         name = np.arange(len(lengths))
-        rank = np.full(symbol.shape, _NONE, np.int64)
+        rank = np.full(symbol.shape, _NONE, np.int32)
         piece = np.zeros_like(symbol)
-        rank[:, :-1], piece[:, :-1] = self._candidates(symbol[:, :-1], symbol[:, 1:], start[:, :-1], keys[:, None])
+        rank[:, :-1], piece[:, :-1], drawn, merge, skipped = self._candidates(symbol[:, :-1], symbol[:, 1:], start[:, :-1], keys)
+        draws = [(drawn[0], merge, skipped)]
         while True:
             best = rank.argmin(1)
             going = rank[np.arange(len(name)), best] != _NONE
@@ -179,59 +227,108 @@ class Pieces:
             for at in (best, best - 1):
                 near = np.flatnonzero((at >= 0) & (at + 1 < symbol.shape[1]))
                 i, j = row[near], at[near]
-                rank[i, j], piece[i, j] = self._candidates(symbol[i, j], symbol[i, j + 1], start[i, j], keys[i])
+                rank[i, j], piece[i, j], drawn, merge, skipped = self._candidates(symbol[i, j], symbol[i, j + 1], start[i, j], keys[i])
+                draws.append((name[i[drawn]], merge, skipped))
             # a pair that now ends in the last column has no right neighbour
             rank[:, -1] = _NONE
         full = final >= 0
-        return final[full], full.sum(1)
+        return final[full], full.sum(1), *(np.concatenate(x) for x in zip(*draws))
 
-    def encode_parts(self, parts: list[str], variants: list[int]) -> list[bytes]:
+    def encode_parts(self, parts: list[str], occurrences: np.ndarray | list[int]) -> list[bytes]:
         """Ids of each part as 32-bit integers."""
-        keys = self.keys(parts, variants)
+        return self._encoded(parts, self.keys(parts, occurrences))[0]
+
+    def _encoded(self, parts: list[str], keys: np.ndarray) -> tuple[list[bytes], np.ndarray, tuple[np.ndarray, ...]]:
+        """Ids of each part, whether its draws are listed, and part, merge and skip of each draw listed."""
         flat, edges = self.symbols(parts)
         lengths = np.diff(edges)
         out = [b""] * len(parts)
         order = np.argsort(lengths, kind="stable")
         order = order[lengths[order] <= WIDE]
+        draws = [(np.zeros(0, np.int64), np.zeros(0, _U), np.zeros(0, bool))]
         for at in range(0, len(order), 8192):
             some = order[at : at + 8192]
             many = lengths[some]
             inside = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(edges[some], many)
-            ids, counts = self._together(flat[inside], many, keys[some])
+            ids, counts, owner, merge, skipped = self._together(flat[inside], many, keys[some])
+            draws.append((some[owner], merge, skipped))
             data, ends = ids.astype(np.int32).tobytes(), (4 * np.cumsum(counts)).tolist()
             for i, a, b in zip(some.tolist(), [0, *ends], ends):
                 out[i] = data[a:b]
         for i in np.flatnonzero(lengths > WIDE).tolist():
             out[i] = np.array(self.agenda(parts[i], int(keys[i])), np.int32).tobytes()
+        return out, lengths <= WIDE, tuple(np.concatenate(x) for x in zip(*draws))
+
+    def _found(self, parts: list[str], keys: np.ndarray) -> list[bytes]:
+        """Ids of each part, by the table as far as it goes."""
+        if len(self.results) > CACHE:
+            self._forget()
+        get, (merges, ends) = self.entries.get, self.kept
+        entry = np.array([get(p, -1) for p in parts], np.int64)
+        above, mask = np.full(len(parts), -1), np.zeros(len(parts), np.int64)
+        todo = np.flatnonzero(entry >= 0)
+        while len(todo):
+            at, owner, place = _inside(ends, entry[todo])
+            skipped = np.flatnonzero(self._skipped(keys[todo][owner], merges[at]))
+            bits = np.bincount(owner[skipped], 2.0 ** place[skipped], len(todo)).astype(np.int64)
+            todo, bits = todo[bits > 0], bits[bits > 0]
+            above[todo], mask[todo] = entry[todo], bits
+            entry[todo] = [get(x, -1) for x in zip(entry[todo].tolist(), bits.tolist())]
+            todo = todo[entry[todo] >= 0]
+        results = self.results
+        out = [results[e] if e >= 0 else b"" for e in entry.tolist()]
+        missing = np.flatnonzero(entry < 0)
+        if len(missing):
+            new = [parts[i] for i in missing.tolist()]
+            ids, listed, draws = self._encoded(new, keys[missing])
+            for i, x in zip(missing.tolist(), ids):
+                out[i] = x
+            self._keep(new, above[missing], mask[missing], ids, listed, draws)
         return out
 
+    def _keep(self, parts: list[str], above: np.ndarray, mask: np.ndarray, ids: list[bytes], listed: np.ndarray, draws: tuple[np.ndarray, ...]) -> None:
+        """Enters the parts that skipped nothing but what led to their place in the table."""
+        slot = mix((above << 32 ^ mask).astype(_U)).view(np.int64)
+        top = np.flatnonzero(above < 0)
+        slot[top] = [hash(parts[i]) for i in top.tolist()]
+        slot &= SEEN - 1
+        listed = listed & self.seen[slot]
+        self.seen[slot] = True
+        owner, merge, skipped = (x[listed[draws[0]]] for x in draws)
+        below = np.flatnonzero((above >= 0) & listed)
+        known = []
+        for (merges, ends), chosen in ((self.skipped, False), (self.kept, True)):
+            at, of, place = _inside(ends, above[below])
+            if chosen:
+                led = (mask[below][of] >> place) & 1 == 1
+                at, of = at[led], of[led]
+            known.append(mix(below[of].astype(_U)) ^ merges[at])
+        good = listed & (np.bincount(owner[~skipped], minlength=len(parts)) <= MOST)
+        good[owner[skipped][~np.isin(mix(owner[skipped].astype(_U)) ^ merge[skipped], np.concatenate(known))]] = False
+        chosen, number = [], np.full(len(parts), -1)
+        for i, a, m in zip(np.flatnonzero(good).tolist(), above[good].tolist(), mask[good].tolist()):
+            if self.entries.setdefault(parts[i] if a < 0 else (a, m), len(self.results)) == len(self.results):
+                self.results.append(ids[i])
+                number[i] = len(chosen)
+                chosen.append(i)
+        for name, those in (("kept", ~skipped), ("skipped", skipped)):
+            merges, ends = getattr(self, name)
+            of, at = number[owner[those]], merge[those]
+            order = np.argsort(of, kind="stable")
+            order = order[of[order] >= 0]
+            counts = np.bincount(of[order], minlength=len(chosen))
+            setattr(self, name, (np.concatenate([merges, at[order]]), np.concatenate([ends, ends[-1] + np.cumsum(counts)])))
+
     def encode(self, texts: list[str | None], names: np.ndarray) -> list[np.ndarray | None]:
         """Ids of each text; ``names`` are hashes of the rows' keys."""
         cut = [_PARTS.findall(" " + t) if t else [] for t in texts]
         counts = [len(c) for c in cut]
         every = [p for parts in cut for p in parts]
-        which = np.zeros(len(every), np.int64)
-        if self.rate:
-            place = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
-            which = (mix(np.repeat(names, counts) + place.astype(_U)) % _U(VARIANTS)).astype(np.int64)
-        which = which.tolist()
-        if sum(map(len, self.young)) > CACHE // 2:
-            self.old, self.young = self.young, [{} for _ in range(VARIANTS)]
-        young, old = self.young, self.old
-        found = [young[v].get(p) for p, v in zip(every, which)]
-        missing, new = [i for i, ids in enumerate(found) if ids is None], {}
-        for i in missing:
-            p, v = every[i], which[i]
-            ids = old[v].get(p)
-            if ids is None:
-                new[p, v] = None
-            else:
-                young[v][p] = ids
-        if new:
-            for (p, v), ids in zip(new, self.encode_parts([p for p, _ in new], [v for _, v in new])):
-                young[v][p] = ids
-        for i in missing:
-            found[i] = young[which[i]][every[i]]
+        place = np.arange(len(every)) - np.repeat(np.cumsum(counts) - counts, counts).astype(np.int64)
+        keys = self.keys(every, mix(np.repeat(names, counts) + place.astype(_U)))
+        found: list[bytes] = []
+        for at in range(0, len(every), LOOK_UP):
+            found += self._found(every[at : at + LOOK_UP], keys[at : at + LOOK_UP])
         at, out = 0, []
         for t, n in zip(texts, counts):
             out.append(None if t is None else np.frombuffer(b"".join(found[at : at + n]), np.int32))

@@ -47,3 +47,26 @@ def test_odd_rows_and_empty_table(spark):
     assert whole.filter("text IS NULL AND ids IS NULL AND decoded IS NULL").count() == 1
     assert whole.filter("text = '' AND size(ids) = 0 AND decoded = ''").count() == 1
     assert pieces.op2(docs.limit(0)).count() == 0
+
+
+def test_each_occurrence_of_a_word_is_split_at_the_rate(spark):
+    """A word of one merge, in 200 documents of 50: split in a tenth of all, as many ways apart as draws of their own give."""
+    docs = documents(spark, [(i, "a " * 49 + "a", "en", "a", 1) for i in range(200)])
+    ids = [r.ids for r in pieces.encoded(docs).collect()]
+    split = np.array([len(x) - 50 for x in ids])
+    assert abs(split.sum() / 10_000 - 0.1) < 0.015
+    assert 2 < split.var() < 8  # binomial: 4.5
+
+
+@pytest.mark.parametrize("rate, cache", [(0.1, 1 << 18), (0.4, 1 << 18), (0.1, 20), (0.0, 20)])
+def test_table_gives_what_each_occurrence_draws(monkeypatch, rate, cache):
+    monkeypatch.setattr(pieces, "CACHE", cache)
+    monkeypatch.setattr(pieces, "LOOK_UP", 64)
+    texts = ["the international organization of standards and ﬁ " + "=" * 60] * 120
+    names = pieces.mix(np.arange(len(texts)).astype(np.uint64))
+    held, alone = pieces.Pieces(pieces.vocabulary(), rate), pieces.Pieces(pieces.vocabulary(), rate)
+    got = held.encode(texts, names)
+    for text, name, ids in zip(texts, names, got):
+        parts = pieces._PARTS.findall(" " + text)
+        keys = alone.keys(parts, pieces.mix(name + np.arange(len(parts)).astype(np.uint64)))
+        assert ids.tolist() == [x for p, k in zip(parts, keys.tolist()) for x in alone.agenda(p, k)]
