@@ -1,8 +1,7 @@
 """Licence scans: lines against templates by sparse TF-IDF cosine, then inheritance down the directory tree.
 
 A file is cut into lines. Terms are lower-cased runs of letters and digits, weighted by ``(1 + ln tf) * ln(1 + N / df)``
-with document frequencies over all lines; a term that no template has counts as if it occurred in one
-line. A line's licence is the template with the greatest cosine, ``COSINE`` at least. A line can only
+with document frequencies over all lines, counted for all terms in one pass. A line's licence is the template with the greatest cosine, ``COSINE`` at least. A line can only
 reach that if it shares one of a template's heaviest terms: those without which the rest of its
 vector is shorter than ``COSINE``. Lines without such a term are never compared, and lines of one text are compared once.
 
@@ -11,7 +10,8 @@ ends in a slash) that has one gives it to its directory. A file without its own
 directory above it that has one: distinct directories are joined with their ancestors first, so a
 directory with a third of all files is one row there.
 
-Templates and their terms are the only broadcast, bounded by the list given. A null or empty text has no lines, a null
+Broadcast are templates and their terms, bounded by the list given, and the document frequencies of the ``HOT_TERMS`` most
+frequent terms at most; the others' are joined by a shuffle. A null or empty text has no lines, a null
 path no directories. Equal scores go to the first template by name, several licence files of a directory to the best score,
 then the first name. Repeated rows and repeated ids are files of their own, found by their path and text. Other columns are kept by
 :func:`scanned`.
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from skytally.llm.store import saved
 
 COSINE = 0.7
+HOT_TERMS = 1 << 16
 # Customary notices and the openings of licence texts.
 TEMPLATES = {
     "Apache-2.0": [
@@ -89,19 +90,35 @@ def _vectors(df: dict[str, int], n: int, templates: dict) -> tuple[list[tuple[st
     return rows, sorted(needed)
 
 
+def _weighted(each: DataFrame, counts: DataFrame, n: int) -> DataFrame:
+    """``line, term, w`` of ``each`` (line, term, tf), whose terms are all in ``counts`` (term, df, grade)."""
+    least, total = 0, 0
+    for grade, size in sorted(counts.groupBy("grade").count().collect(), reverse=True):  # 8 * 63 rows at most
+        if total + size > HOT_TERMS:
+            least = grade + 1
+            break
+        total += size
+    frequent = F.broadcast(counts.filter(F.col("grade") >= least).select("term", "df"))
+    rare = counts.filter(F.col("grade") < least).select("term", "df")
+    known = each.join(frequent, "term").unionByName(each.join(frequent, "term", "left_anti").join(rare, "term"))
+    idf = F.log(1 + F.lit(float(n)) / F.col("df"))
+    return known.select("line", "term", ((1 + F.log(F.col("tf").cast("double"))) * idf).alias("w"))
+
+
 def matched(files: DataFrame, text: str, templates: dict = TEMPLATES) -> DataFrame:
     """``line, license, score`` for each distinct line that matches a template."""
     cut = files.select(F.explode(lines(F.col(text))).alias("line")).withColumn("terms", terms(F.col("line")))
     vocabulary = sorted({t for texts in templates.values() for x in texts for t in _terms(x)})
-    known = F.array(*[F.lit(t) for t in vocabulary])
-    counted = cut.select(F.explode(F.concat(F.array_intersect("terms", known), F.array(F.lit("")))).alias("term"))
-    df = dict(counted.groupBy("term").count().collect())  # a row for each term of the templates, and one for all lines
+    counted = cut.select(F.explode(F.concat(F.array_distinct("terms"), F.array(F.lit("")))).alias("term"))
+    counts = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counts = saved(counts.withColumn("grade", F.floor(8 * F.log2(F.col("df").cast("double"))).cast("int")), "terms")
+    # a row for each term of the templates, and one for all lines
+    df = dict(counts.filter(F.col("term").isin([*vocabulary, ""])).select("term", "df").collect())
     n = df.pop("", 0)
     rows, needed = _vectors(df, n, templates)
     near = cut.filter(F.arrays_overlap("terms", F.array(*[F.lit(t) for t in needed]))).select("line", "terms").distinct()
-    idf = F.element_at(F.map_from_arrays(known, F.array(*[F.lit(math.log(1 + n / max(1, df.get(t, 0)))) for t in vocabulary])), F.col("term"))
     each = near.select("line", F.explode("terms").alias("term")).groupBy("line", "term").agg(F.count(F.lit(1)).alias("tf"))
-    each = each.withColumn("w", (1 + F.log(F.col("tf").cast("double"))) * F.coalesce(idf, F.lit(math.log(1 + n))))
+    each = saved(_weighted(saved(each, "each"), counts.filter("term <> ''"), n), "weights")
     norms = each.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     vectors = files.sparkSession.createDataFrame(rows, "template string, term string, tw double")
     dots = each.join(F.broadcast(vectors), "term").groupBy("line", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))

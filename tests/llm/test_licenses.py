@@ -75,3 +75,39 @@ def test_pages(spark, sf_dir):
     marked = pages.filter("html RLIKE 'under the MIT License[.]</'").select("page_id").collect()
     found = {r.page_id for r in got if r.license == "MIT"}
     assert {r.page_id for r in marked} <= found
+
+
+def brute_by_true_frequencies(texts):
+    """As above, with the number of lines that have it as the frequency of every term."""
+    lines = [line.strip(" ") for t in texts if t for line in t.split("\n") if line.strip(" ")]
+    n, df = len(lines), Counter(t for line in lines for t in set(licenses._terms(line)))
+
+    def unit(text):
+        w = {t: (1 + math.log(c)) * math.log(1 + n / max(1, df[t])) for t, c in Counter(licenses._terms(text)).items()}
+        norm = math.sqrt(sum(x * x for x in w.values())) or 1.0
+        return {t: x / norm for t, x in w.items()}
+
+    templates = [(name, unit(x)) for name, ts in licenses.TEMPLATES.items() for x in ts]
+    out = {}
+    for line in set(lines):
+        v = unit(line)
+        score, name = min((-sum(v.get(k, 0) * w for k, w in t.items()), name) for name, t in templates)
+        if -score >= licenses.COSINE:
+            out[line] = (name, -score)
+    return out
+
+
+@pytest.mark.parametrize("hot", [1 << 16, 40])
+def test_lines_equal_brute_force_of_true_frequencies(spark, sf_dir, monkeypatch, hot):
+    """Frequent words beside a notice take little from its score, rare ones more; some frequencies by a shuffle too."""
+    monkeypatch.setattr(licenses, "HOT_TERMS", hot)
+    pages = table(spark, sf_dir, "pages").select(licenses.page_text("html").alias("text")).collect()
+    filler = "\n".join(f"copyright by and w{i} x{i}" for i in range(3000))
+    beside = f"copyright by and {APACHE}"
+    texts = [r.text for r in pages] + [filler, MIT, beside, f"wholly unheardof utterly {APACHE}", "version 2.0", None, "", "---"]
+    got = {r.line: (r.license, r.score) for r in licenses.matched(files(spark, [("p", t) for t in texts]), "text").collect()}
+    expected = brute_by_true_frequencies(texts)
+    assert set(got) == set(expected)
+    assert got[beside][1] > 0.9 > got[f"wholly unheardof utterly {APACHE}"][1]
+    for line, (name, score) in expected.items():
+        assert got[line][0] == name and got[line][1] == pytest.approx(score)
