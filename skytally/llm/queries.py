@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skytally.llm import chat, fingerprint, licenses, lm, mixing, ngram_join, pieces, pii, topk, toxicity
+from skytally.llm import centroids, chat, fingerprint, licenses, lm, mixing, ngram_join, pieces, pii, runs, topk, toxicity
 from skytally.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,13 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.op5(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.op13(table(spark, sf_dir, "documents"))
+
+
+@query(centroids.SQL)
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.op11(table(spark, sf_dir, "embeddings"))

@@ -34,3 +34,10 @@ def checksum(key: str | Column) -> Column:
     """CRC-32 of a key's text; a null key counts as empty text."""
     column = F.col(key) if isinstance(key, str) else key
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
+
+
+def free(df: DataFrame, *names: str) -> None:
+    """Raise ValueError if ``df`` has a column of one of these names, which are to be added; case does not tell names apart."""
+    taken = {c.lower() for c in df.columns} & {n.lower() for n in names}
+    if taken or len({n.lower() for n in names}) < len(names):
+        raise ValueError(f"choose other names for the new columns: {sorted(taken) or list(names)} taken")
