@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skytally.llm import centroids, chat, fingerprint, licenses, lm, mixing, ngram_join, pieces, pii, runs, topk, toxicity
+from skytally.llm import centroids, chat, fingerprint, licenses, lines, lm, mixing, ngram_join, pieces, pii, runs, topk, toxicity
 from skytally.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,8 @@ def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(centroids.SQL)
 def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.op11(table(spark, sf_dir, "embeddings"))
+
+
+@query(lines.SQL)
+def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.op12(table(spark, sf_dir, "documents"))
