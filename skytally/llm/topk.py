@@ -17,8 +17,8 @@ queries to blocks of ``QUERY_ROWS``; each pair of blocks is a task's unit of wor
 rows. The k best of each block meet per query; that needs k rows from each block, cut again on the way.
 
 Vectors that are null, empty, or hold null or non-finite components take no part, nor do vectors of a
-length other than the queries'. Equal scores go to the smaller id. Equal ids are rows of their own; a
-query's own row is every row of its id. A null id takes no part. An empty table gives no rows.
+length other than the queries'. Equal scores go to the smaller id. Equal ids are rows of their own, as
+candidates and as queries, each with ``k`` ranks; a query's own row is every row of its id. A null id takes no part. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -117,12 +117,15 @@ def nearest(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id", vect
     whole = rows.filter(usable(vector) & F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("vec_id"), integers(vector).alias("v"), is_query.alias("is_query")
     )
-    whole = saved(whole.withColumn("length", F.size("v")), "vectors")
+    # queries of one id are told apart by a number
+    copy = F.row_number().over(Window.partitionBy("vec_id").orderBy("v"))
+    asked, others = whole.filter("is_query").withColumn("copy", copy), whole.filter("NOT is_query").withColumn("copy", F.lit(0))
+    whole = saved(others.union(asked).withColumn("length", F.size("v")), "vectors")
     counts = whole.agg(F.count(F.lit(1)), F.count_if("is_query")).first()
     blocks, query_blocks = (-(-n // size) or 1 for n, size in zip(counts, (BLOCK_ROWS, QUERY_ROWS)))
     hashed = F.xxhash64("vec_id")
     asked = whole.filter("is_query").withColumn("q", F.pmod(hashed, F.lit(query_blocks)).cast("int"))
-    packed = [F.collect_list(F.struct("vec_id", "v")).alias("members")]
+    packed = [F.collect_list(F.struct("vec_id", "copy", "v")).alias("members")]
     asked = asked.groupBy("length", "q").agg(*packed).withColumnRenamed("members", "queries")
     held = whole.withColumn("b", F.pmod(hashed, F.lit(blocks)).cast("int")).groupBy("length", "b").agg(*packed)
     # each block of rows meets each block of queries, a key for each pair: no block gathers all its partners
@@ -136,13 +139,13 @@ def nearest(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id", vect
                 order = np.argsort(ids, kind="stable")
                 ids, index = ids[order], Index(matrix[order])
                 parts = []
-                for query_id, query in zip(*unpacked(queries)):
+                for query_id, query, asked in zip(*unpacked(queries), queries):
                     scores, found = index.best(query, ids == query_id, ids, k)
-                    parts.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[found], "score": scores}))
+                    parts.append(pd.DataFrame({"query_id": query_id, "copy": asked["copy"], "vec_id": ids[found], "score": scores}))
                 yield pd.concat(parts)
 
-    found = met.select("members", "queries").mapInPandas(search, "query_id long, vec_id long, score long")
-    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = met.select("members", "queries").mapInPandas(search, "query_id long, copy int, vec_id long, score long")
+    best_first = Window.partitionBy("query_id", "copy").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
@@ -154,14 +157,14 @@ def unpacked(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS double)) AS bigint)) AS v FROM embeddings
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS double)) AS bigint)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, r.vec_id,
+  SELECT q.r, q.vec_id AS query_id, r.vec_id,
     CAST(list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2])) AS bigint) AS score
   FROM v q JOIN v r ON q.vec_id <> r.vec_id WHERE q.vec_id % 100 = 0),
-best AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS int) AS rank FROM scored)
+best AS (SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS int) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM best WHERE rank <= 10
 """
 

@@ -49,3 +49,7 @@ def test_repeated_ids(spark):
     rows = [(100, [1.0, 0.0]), (100, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.5, 0.0])]
     got = sorted((r.query_id, r.vec_id) for r in topk.op8(vectors(spark, rows)).collect())
     assert got == [(100, 1)] * 4
+    # equal and different vectors of one id, each a query with ten ranks of its own
+    rows = [(i, [i / 10, (20 - i) / 10]) for i in range(1, 21)] + [(100, [1.0, 0.0])] * 2 + [(100, [0.0, 1.0]), (100, [0.5, 0.5])]
+    got = sorted(tuple(r) for r in topk.op8(vectors(spark, rows)).collect())
+    assert got == brute(rows) and len(got) == 40
