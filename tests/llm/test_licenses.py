@@ -13,41 +13,6 @@ def files(spark, rows):
     return spark.createDataFrame([(i, p, t, "x", 1.0) for i, (p, t) in enumerate(rows)], "id long, path string, text string, license_text string, dot double")
 
 
-def brute(texts):
-    """Best template of each line, all lines against all templates."""
-    lines = [line.strip(" ") for t in texts if t for line in t.split("\n") if line.strip(" ")]
-    n, df = len(lines), Counter(t for line in lines for t in set(licenses._terms(line)))
-    vocabulary = {t for ts in licenses.TEMPLATES.values() for x in ts for t in licenses._terms(x)}
-
-    def vector(text):
-        counts = Counter(licenses._terms(text))
-        return {t: (1 + math.log(c)) * math.log(1 + n / (max(1, df[t]) if t in vocabulary else 1)) for t, c in counts.items()}
-
-    def norm(v):
-        return math.sqrt(sum(x * x for x in v.values())) or 1.0
-
-    out = {}
-    for line in set(lines):
-        v, best = vector(line), []
-        for name, ts in licenses.TEMPLATES.items():
-            for x in ts:
-                t = vector(x)
-                best.append((-sum(v.get(k, 0) * w for k, w in t.items()) / norm(v) / norm(t), name))
-        if -min(best)[0] >= licenses.COSINE:
-            out[line] = (min(best)[1], -min(best)[0])
-    return out
-
-
-def test_lines_equal_brute_force(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select(licenses.page_text("html").alias("text")).collect()
-    texts = [r.text for r in pages] + [MIT, APACHE + " And some more words here.", "the license of the work", "version 2.0", None, ""]
-    got = {r.line: (r.license, r.score) for r in licenses.matched(files(spark, [("p", t) for t in texts]), "text").collect()}
-    expected = brute(texts)
-    assert set(got) == set(expected) and any(len(line) > 40 for line in got)
-    for line, (name, score) in expected.items():
-        assert got[line][0] == name and got[line][1] == pytest.approx(score)
-
-
 def test_inheritance(spark):
     filler = "\n".join(f"line {i} of ordinary words" for i in range(30))
     tree = [
