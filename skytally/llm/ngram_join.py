@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from skytally.llm.components import components
 from skytally.llm.store import saved
-from skytally.llm.tokens import combine, hashed_words, mix, rows_of
+from skytally.llm.tokens import combine, hashed_words, mix, parts_of, rows_of
 
 #: What :func:`op6` and :func:`classes` go by, and what :func:`deduplicated` does.
 SHINGLE, PERCENT = 4, 85
@@ -45,6 +45,10 @@ CHUNK_WORDS = 1 << 20
 LEAST_BITS, MOST_BITS = 1 << 11, 1 << 15
 BUCKET_ROWS = 1 << 18
 GROUP, LEAF = 2048, 32
+#: Tokens in so many texts are grouped by Spark's own aggregates, not a bucket at a time in one task.
+WIDESPREAD = 1 << 16
+#: Bytes of text worked on at a time.
+SLICE = 1 << 19
 #: Of the filter that keeps texts out of a shuffle that no pair needs: 16 MB.
 FILTER_BITS = 1 << 27
 _U = np.uint64
@@ -144,7 +148,7 @@ def described(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE) -> D
 
         names = ["key", "node", "n", "bitmap", "token", "df"]
         key_type = pa.int64()
-        for frame in frames:
+        for frame in parts_of(frames, 1, SLICE):
             key_type = frame.column(0).type
             tokens, starts = sets(frame.column(1), shingle)
             node = nodes_of(tokens, starts)
@@ -189,7 +193,7 @@ def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_r
 
     def first_tokens(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_tokens, hot_counts = shared.value
-        for frame in frames:
+        for frame in parts_of(frames, 0, SLICE):
             tokens, starts = sets(frame.column(0), shingle)
             node = nodes_of(tokens, starts)
             count = np.zeros(len(tokens), np.int64)
@@ -207,22 +211,16 @@ def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_r
             token, of = tokens[chosen], row[chosen]
             size = np.diff(starts)
             early = (np.arange(len(tokens)) - starts[row])[inside] < indexed_length(size, percent)[of]
-            sized = (2 * size[of] + early).astype(np.uint32)
-            order = np.argsort(token)
-            token, owner, sized = token[order], node[of][order], sized[order]
-            bucket = ((token >> _U(32)) * _U(buckets)) >> _U(32)
-            edges = np.searchsorted(bucket, np.arange(buckets + 1).astype(_U))
-            full = np.flatnonzero(np.diff(edges))
+            sized = 2 * size[of].astype(np.int64) + early
+            bucket = (((token >> _U(32)) * _U(buckets)) >> _U(32)).astype(np.int32)
+            bucket[count[chosen] >= WIDESPREAD] = -1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(full.astype(np.int32)), pa.array([token[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary()),
-                 pa.array([owner[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary()),
-                 pa.array([sized[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary())], ["bucket", "tokens", "nodes", "sizes"],
-            )
+                [pa.array(bucket), pa.array(token.view(np.int64)), pa.array(node[of]), pa.array(sized)], ["bucket", "token", "node", "sized"]
+            )
 
     def grouped(frame: pa.Table) -> pa.Table:
-        token = np.concatenate([np.frombuffer(x, _U) for x in frame.column("tokens").to_pylist()])
-        owner = np.concatenate([np.frombuffer(x, np.int64) for x in frame.column("nodes").to_pylist()])
-        sized = np.concatenate([np.frombuffer(x, np.uint32) for x in frame.column("sizes").to_pylist()]).astype(np.int64)
+        token, owner, sized = (frame.column(c).to_numpy() for c in ("token", "node", "sized"))
+        token = token.view(_U)
         order = np.lexsort((owner, sized >> 1, token))
         token, owner, sized = token[order], owner[order], sized[order]
         fresh = np.ones(len(token), bool)
@@ -244,8 +242,23 @@ def _sharing(docs: DataFrame, text: str, hot: tuple[np.ndarray, np.ndarray], n_r
         member = np.repeat(good, size)
         return pa.table({"group": np.repeat(name, size)[member].view(np.int64), "node": owner[member]})
 
-    sent = docs.select(text).mapInArrow(first_tokens, "bucket int, tokens binary, nodes binary, sizes binary")
-    return saved(sent.groupBy("bucket").applyInArrow(grouped, "group long, node long").distinct(), "groups")
+    sent = docs.select(text).mapInArrow(first_tokens, "bucket int, token long, node long, sized long")
+    if not len(hot[1]) or hot[1].max() < WIDESPREAD:
+        return saved(sent.groupBy("bucket").applyInArrow(grouped, "group long, node long").distinct(), "groups")
+    sent = saved(sent, "first-tokens")
+    few = sent.filter("bucket >= 0").groupBy("bucket").applyInArrow(grouped, "group long, node long")
+    return saved(few.union(_widespread(sent.filter("bucket < 0").select("token", "node"))).distinct(), "groups")
+
+
+def _widespread(rows: DataFrame) -> DataFrame:
+    """``group, node`` of tokens that very many texts share, of tokens of the same nodes one group.
+
+    Added up in each task first, so that no task sees all texts of a token.
+    """
+    rows = rows.distinct()
+    named = rows.groupBy("token").agg(F.bit_xor(F.xxhash64("node")).alias("nodes"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    once = named.groupBy("nodes", "n").agg(F.min("token").alias("__token"))
+    return rows.join(once, F.col("token") == F.col("__token")).select(F.xxhash64("nodes", "n").alias("group"), "node")
 
 
 class Tree:
@@ -440,7 +453,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: i
     texts = texts.filter(_among(wanted, "__least")(F.xxhash64("__key"))).join(wanted, F.col("__key").eqNullSafe(F.col("__least")))
 
     def whole(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in frames:
+        for frame in parts_of(frames, 1, SLICE):
             tokens, starts = sets(frame.column(1), shingle)
             node = nodes_of(tokens, starts)
             yield pa.RecordBatch.from_arrays(

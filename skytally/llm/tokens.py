@@ -6,6 +6,8 @@ a table of random 64-bit values per byte, finished by a mixing step, and depends
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -58,6 +60,20 @@ def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def pieces_of(offsets: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Rows from and to, for stretches of rows of about ``size`` bytes; a longer row is one by itself."""
+    before = offsets[:-1]
+    edges = np.flatnonzero(np.diff(before // size, prepend=-1)).tolist()
+    return list(zip(edges, [*edges[1:], len(before)]))
+
+
+def parts_of(frames: Iterator[pa.RecordBatch], text: int | str, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of rows with about ``size`` bytes of text, or one row of more, so that working arrays stay small."""
+    for frame in frames:
+        for a, b in pieces_of(as_bytes(frame.column(text))[1], size):
+            yield frame.slice(a, b - a)
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First byte and end of each word; no word runs from one row into the next."""
     inside = ~separators[data]

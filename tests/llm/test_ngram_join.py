@@ -57,10 +57,11 @@ def near_copies(seed, n, length, edits):
     return out
 
 
-@pytest.mark.parametrize("group", [8, 2048])
-def test_equals_brute_force(spark, monkeypatch, group):
+@pytest.mark.parametrize("group, widespread", [(8, 1 << 16), (2048, 1 << 16), (2048, 5)])
+def test_equals_brute_force(spark, monkeypatch, group, widespread):
     """Near copies around the threshold, chains of them, a passage that many share, short texts; split groups too."""
     monkeypatch.setattr(ngram_join, "GROUP", group)
+    monkeypatch.setattr(ngram_join, "WIDESPREAD", widespread)
     pick = random.Random(5)
     texts = near_copies(1, 40, 100, 4) + near_copies(2, 25, 300, 12) + near_copies(3, 10, 30, 1)
     passage = " ".join(f"p{i}" for i in range(60))

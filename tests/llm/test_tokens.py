@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from skytally.llm.tokens import NOT_ALPHANUMERIC, hashed_words
+from skytally.llm.tokens import NOT_ALPHANUMERIC, hashed_words, parts_of
 from tests.llm.helpers import ODD, words
 
 
@@ -24,3 +24,10 @@ def test_slices_and_separators():
     assert offsets.tolist() == [0, 3, 3, 4]
     assert hashes[0] == hashed_words(pa.array(["c"]))[0][0]
     assert len(hashed_words(pa.array([], pa.string()))[0]) == 0
+
+
+def test_parts_hold_all_rows():
+    texts = ["abc", None, "", "d" * 500, "e", "f" * 60, "g" * 60, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(len(texts)))], ["text", "i"])
+    parts = list(parts_of(iter([batch, batch.slice(0, 0)]), "text", 100))
+    assert [i for b in parts for i in b.column("i").to_pylist()] == list(range(len(texts))) and len(parts) > 2
