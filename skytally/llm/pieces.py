@@ -15,7 +15,8 @@ way that were not skipped; an occurrence whose own draws skip none of them is cu
 a batch are encoded together, a round of merges at a time, in numpy arrays.
 
 A null text has null ids; an empty one none, and decodes as empty. Rows with a null key count as key
-''. Repeated rows get equal ids. All columns are kept; the new ones must be named apart by the caller.
+''. Repeated rows get equal ids. All columns are kept; a name for
+a new one that is taken raises ValueError. A very long text is encoded by itself: its task holds its parts.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.llm.tokens import as_bytes, hash_spans, mix
+from skytally.llm.store import free
+from skytally.llm.tokens import as_bytes, hash_spans, mix, parts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 1
@@ -41,6 +43,8 @@ CACHE = 1 << 18
 LOOK_UP, MOST = 1 << 16, 52
 #: Marks of what was looked up in vain: only what is so again is entered.
 SEEN = 1 << 22
+#: Bytes of text encoded at a time.
+SLICE = 1 << 19
 #: Parts of more symbols than this are encoded one by one.
 WIDE = 48
 _SPACE = "▁"
@@ -63,15 +67,40 @@ def _inside(ends: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return place + np.repeat(ends[entry], many), np.repeat(np.arange(len(entry)), many), place
 
 
+class Lists:
+    """Lists of merges one behind the other, in arrays that grow by doubling."""
+
+    def __init__(self) -> None:
+        self.merges, self.ends, self.size = np.zeros(1 << 10, _U), np.zeros(1 << 8, np.int64), 0
+
+    def add(self, merges: np.ndarray, counts: np.ndarray) -> None:
+        """Lists of ``counts`` merges each."""
+        if not len(counts):
+            return
+        base, to = int(self.ends[self.size]), self.size + len(counts)
+        self.merges, self.ends = self._room(self.merges, base + len(merges)), self._room(self.ends, to + 1)
+        self.merges[base : base + len(merges)] = merges
+        self.ends[self.size + 1 : to + 1] = base + np.cumsum(counts)
+        self.size = to
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        if size <= len(array):
+            return array
+        wider = np.zeros(max(size, 2 * len(array)), array.dtype)
+        wider[: len(array)] = array
+        return wider
+
+
 class Pieces:
     """An encoder and decoder. Holds the vocabulary's tables and the parts encoded lately."""
 
     def __init__(self, pieces: list[tuple[str, float, bool]], dropout: float = 0.0, seed: int = SEED) -> None:
         self.ids = {p: i for i, (p, _, byte) in enumerate(pieces) if p and not byte}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, byte) in enumerate(pieces) if byte}
-        self.spelled = [
-            bytes([int(p[3:5], 16)]) if byte else p.replace(_SPACE, " ").encode() for p, _, byte in pieces
-        ]
+        self.spelled = pa.array(
+            [bytes([int(p[3:5], 16)]) if byte else p.replace(_SPACE, " ").encode() for p, _, byte in pieces], pa.large_binary()
+        )
         order = sorted(range(len(pieces)), key=lambda i: -pieces[i][1])
         self.rank = np.zeros(len(pieces), np.int32)
         place, before = -1, None
@@ -126,7 +155,7 @@ class Pieces:
         """Empties the table: entries by part or by an entry and what is skipped of its merges; ids, kept and skipped merges of each."""
         self.entries: dict[str | tuple[int, int], int] = {}
         self.results: list[bytes] = []
-        self.kept, self.skipped = ((np.zeros(0, _U), np.zeros(1, np.int64)) for _ in range(2))
+        self.kept, self.skipped = Lists(), Lists()
         self.seen = np.zeros(SEEN, bool)
 
     def symbols(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -263,7 +292,7 @@ class Pieces:
         """Ids of each part, by the table as far as it goes."""
         if len(self.results) > CACHE:
             self._forget()
-        get, (merges, ends) = self.entries.get, self.kept
+        get, merges, ends = self.entries.get, self.kept.merges, self.kept.ends
         entry = np.array([get(p, -1) for p in parts], np.int64)
         above, mask = np.full(len(parts), -1), np.zeros(len(parts), np.int64)
         todo = np.flatnonzero(entry >= 0)
@@ -297,12 +326,12 @@ class Pieces:
         owner, merge, skipped = (x[listed[draws[0]]] for x in draws)
         below = np.flatnonzero((above >= 0) & listed)
         known = []
-        for (merges, ends), chosen in ((self.skipped, False), (self.kept, True)):
-            at, of, place = _inside(ends, above[below])
+        for lists, chosen in ((self.skipped, False), (self.kept, True)):
+            at, of, place = _inside(lists.ends, above[below])
             if chosen:
                 led = (mask[below][of] >> place) & 1 == 1
                 at, of = at[led], of[led]
-            known.append(mix(below[of].astype(_U)) ^ merges[at])
+            known.append(mix(below[of].astype(_U)) ^ lists.merges[at])
         good = listed & (np.bincount(owner[~skipped], minlength=len(parts)) <= MOST)
         good[owner[skipped][~np.isin(mix(owner[skipped].astype(_U)) ^ merge[skipped], np.concatenate(known))]] = False
         chosen, number = [], np.full(len(parts), -1)
@@ -311,13 +340,11 @@ class Pieces:
                 self.results.append(ids[i])
                 number[i] = len(chosen)
                 chosen.append(i)
-        for name, those in (("kept", ~skipped), ("skipped", skipped)):
-            merges, ends = getattr(self, name)
-            of, at = number[owner[those]], merge[those]
-            order = np.argsort(of, kind="stable")
-            order = order[of[order] >= 0]
-            counts = np.bincount(of[order], minlength=len(chosen))
-            setattr(self, name, (np.concatenate([merges, at[order]]), np.concatenate([ends, ends[-1] + np.cumsum(counts)])))
+        entered = number[owner] >= 0
+        owner, merge, skipped = number[owner[entered]], merge[entered], skipped[entered]
+        for lists, those in ((self.kept, ~skipped), (self.skipped, skipped)):
+            of, at = owner[those], merge[those]
+            lists.add(at[np.argsort(of, kind="stable")], np.bincount(of, minlength=len(chosen)))
 
     def encode(self, texts: list[str | None], names: np.ndarray) -> list[np.ndarray | None]:
         """Ids of each text; ``names`` are hashes of the rows' keys."""
@@ -336,10 +363,16 @@ class Pieces:
         return out
 
     def decode(self, ids: np.ndarray | None) -> str | None:
-        if ids is None:
-            return None
-        spelled = self.spelled
-        return b"".join([spelled[i] for i in ids.tolist()])[1:].decode()
+        return None if ids is None else self.texts(np.asarray(ids, np.int32), np.array([0, len(ids)]))[0].decode()
+
+    def texts(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The text of each of many rows of ids; ``ends`` says where each begins, one more than rows."""
+        spelled = self.spelled.take(pa.array(ids, pa.int32()))
+        _, offsets, data = spelled.buffers()
+        places = np.frombuffer(offsets, np.int64)[ends].tolist() if len(ids) else [0] * len(ends)
+        whole = memoryview(data) if data else memoryview(b"")
+        # every text was encoded behind a space
+        return [bytes(whole[a + 1 : b]) for a, b in zip(places, places[1:])]
 
 
 def _shared(spark: SparkSession, model: str, dropout: float, seed: int) -> Callable[[], Pieces]:
@@ -364,24 +397,28 @@ def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str =
 
     A pass of its own over the rows: as an expression, each use of the ids could encode again.
     """
+    free(docs, out, *([lossless] if lossless else []))
     get = _shared(docs.sparkSession, model, dropout, seed)
     fields = [T.StructField(out, T.ArrayType(T.IntegerType()))]
     schema = T.StructType([*docs.schema, *fields, *([T.StructField(lossless, T.BooleanType())] if lossless else [])])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, text, SLICE):
             data, offsets = as_bytes(batch.column(key).cast(pa.string()))
             full = np.flatnonzero(np.diff(offsets))
             names = np.zeros(batch.num_rows, _U)
             if len(full):
                 names[full] = hash_spans(data, offsets[:-1][full], offsets[1:][full])
-            texts, pieces = batch.column(text).to_pylist(), get()
-            ids = pieces.encode(texts, names)
-            same = [pa.array([pieces.decode(x) == t for x, t in zip(ids, texts)], pa.bool_())] if lossless else []
+            pieces = get()
+            ids = pieces.encode(batch.column(text).to_pylist(), names)
             ends = np.concatenate([[0], np.cumsum([0 if x is None else len(x) for x in ids])]).astype(np.int32)
             flat = np.concatenate([x for x in ids if x is not None] or [np.zeros(0, np.int32)])
             missing = pa.array([x is None for x in ids], pa.bool_())
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()), mask=missing if missing.true_count else None)
+            same = []
+            if lossless:
+                texts = batch.column(text).cast(pa.binary()).to_pylist()
+                same = [pa.array([x == (t or b"") for x, t in zip(pieces.texts(flat, ends), texts)], pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns, lists, *same], schema.names)
 
     return docs.mapInArrow(encode, schema)
@@ -393,21 +430,21 @@ def decoder(spark: SparkSession, model: str = MODEL) -> Callable[[Column], Colum
 
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
-        pieces, starts = get(), ids.offsets.to_numpy()
-        flat = ids.values.to_numpy()
-        valid = ids.is_valid().to_pylist()
-        return pa.array([pieces.decode(flat[a:b]) if ok else None for a, b, ok in zip(starts, starts[1:], valid)], pa.string())
+        starts, valid = ids.offsets.to_numpy(), ids.is_valid().to_pylist()
+        texts = get().texts(ids.values.to_numpy()[: starts[-1]], starts)
+        return pa.array([t.decode() if ok else None for t, ok in zip(texts, valid)], pa.string())
 
     return decode
 
 
 def decoded(docs: DataFrame, ids: str = "ids", out: str = "decoded", **options) -> DataFrame:
     """``docs`` with the text of ``ids`` in ``out``."""
+    free(docs, out)
     return docs.withColumn(out, decoder(docs.sparkSession, **options)(F.col(ids)))
 
 
 def op2(docs: DataFrame) -> DataFrame:
     """Ids of all documents as a count and a digest, and whether they decode to the text."""
-    found = decoded(encoded(docs.select("doc_id", "text")))
-    same = F.col("decoded").eqNullSafe(F.col("text"))
-    return found.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), F.hex(F.xxhash64("ids")).alias("ids_hash"), same.alias("lossless"))
+    found = encoded(docs.select("doc_id", "text"), lossless="lossless")
+    tokens = F.coalesce(F.size("ids"), F.lit(0)).cast("long")
+    return found.select("doc_id", tokens.alias("n_tokens"), F.hex(F.xxhash64("ids")).alias("ids_hash"), "lossless")

@@ -11,7 +11,8 @@ Scoring covers every row, without a shuffle.
 
 Nulls and ties: a null text is empty and scores the bias; null labels teach nothing; a null key is
 scored and teaches nothing; repeated rows get equal scores; a text labelled twice is learned from
-twice. Without labels of both kinds there is nothing to tell apart and every score is 0.
+twice. A very long text is worked on by itself, in memory of some hundred bytes a word; an empty table gives no rows,
+and columns other than the key and the text stay or are not read. Without labels of both kinds there is nothing to tell apart and every score is 0.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.llm.store import checksum, saved
-from skytally.llm.tokens import NOT_ALPHANUMERIC, combine, hashed_words, rows_of
+from skytally.llm.tokens import NOT_ALPHANUMERIC, as_bytes, combine, hashed_words, parts_of, pieces_of, rows_of
 
 BITS = 22
 TRAIN_ROWS = 20_000
@@ -33,6 +34,8 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 7.0, 0.0
 #: How much more a toxic text teaches than another: they are few.
 TOXIC_WEIGHT = 3.0
 BIAS = -1
+#: Places, or bytes of text, worked on at a time.
+SLICE = 1 << 19
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -70,20 +73,23 @@ class Ftrl:
         self.seen[label] += 1
 
     def model(self) -> tuple[np.ndarray, np.ndarray]:
-        w = self.weights(np.arange((1 << BITS) + 1))
-        places = np.flatnonzero(w)
-        places = places[places < 1 << BITS]
-        return np.append(places, BIAS), np.append(w[places], w[-1])
+        found = []
+        for at in range(0, 1 << BITS, SLICE):
+            places = np.arange(at, min(at + SLICE, 1 << BITS))
+            w = self.weights(places)
+            found.append((places[w != 0], w[w != 0]))
+        found.append((np.array([BIAS]), self.weights(np.array([1 << BITS]))))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     learner = Ftrl()
-    for batch in batches:
-        row, place = features(batch.column("text"))
+    for part in parts_of(batches, "text", SLICE):
+        row, place = features(part.column("text"))
         order = np.argsort(row, kind="stable")
         row, place = row[order], place[order]
-        edges = np.searchsorted(row, np.arange(batch.num_rows + 1))
-        for i, label in enumerate(batch.column("label").to_pylist()):
+        edges = np.searchsorted(row, np.arange(part.num_rows + 1))
+        for i, label in enumerate(part.column("label").to_pylist()):
             learner.learn(place[edges[i] : edges[i + 1]], label)
     if min(learner.seen):
         places, weights = learner.model()
@@ -119,12 +125,13 @@ def scorer(spark: SparkSession, model: tuple[np.ndarray, np.ndarray]) -> Callabl
     def scores(texts: pa.Array) -> pa.Array:
         places, weights = shared.value
         sums = np.zeros(len(texts))
-        if len(places):
-            row, place = features(texts)
+        for a, b in pieces_of(as_bytes(texts)[1], SLICE) if len(places) else []:
+            row, place = features(texts.slice(a, b - a))
             at = np.minimum(np.searchsorted(places, place), len(places) - 1)
             hit = np.flatnonzero(places[at] == place)
             row, at = np.divmod(np.unique(row[hit] * len(places) + at[hit]), len(places))
-            sums = weights[0] + np.bincount(row, weights[at], len(texts))
+            sums[a:b] = weights[0] + np.bincount(row, weights[at], b - a)
+        if len(places):
             sums = 1 / (1 + np.exp(-np.clip(sums, -700, 700)))
         return pa.array(sums, pa.float64())
 

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from skytally.llm import pieces
 from tests.llm.helpers import ODD, documents
@@ -70,3 +71,19 @@ def test_table_gives_what_each_occurrence_draws(monkeypatch, rate, cache):
         parts = pieces._PARTS.findall(" " + text)
         keys = alone.keys(parts, pieces.mix(name + np.arange(len(parts)).astype(np.uint64)))
         assert ids.tolist() == [x for p, k in zip(parts, keys.tolist()) for x in alone.agenda(p, k)]
+
+
+def test_taken_names_raise(spark):
+    docs = documents(spark)
+    with pytest.raises(ValueError):
+        pieces.encoded(docs.withColumn("IDS", F.lit(1)))
+    with pytest.raises(ValueError):
+        pieces.encoded(docs, lossless="ids")
+    with pytest.raises(ValueError):
+        pieces.decoded(pieces.encoded(docs).withColumn("decoded", F.lit(1)))
+
+
+def test_check_in_the_encoding_pass_is_that_of_decoding(spark):
+    docs = documents(spark)
+    rows = pieces.decoded(pieces.encoded(docs, lossless="same")).collect()
+    assert all(r.same and r.decoded == r.text for r in rows) and len(rows) == docs.count()
