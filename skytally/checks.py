@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,10 +22,11 @@ from skytally.operators.windows import hop, tumble
 from skytally.plans import jobs
 from skytally.session import work_dir
 from skytally.sinks.encode import json_rows, key_count, key_count_json, text_rows
-from skytally.sinks.write import to_console, to_parquet, to_text
+from skytally.sinks.write import to_console, to_parquet, to_text, with_ledger
 from skytally.sources.files import read_recorded
-from skytally.sources.views import register_view, run_sql
+from skytally.sources.views import by_sql, register_hop_function, register_view, run_sql
 from skytally.streaming.eventtime import payload_time
+from skytally.streaming.panes import Windows
 from skytally.streaming.run import start
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -390,6 +392,16 @@ def _collected(
     return rows if keep_batch else rows.drop("batch")
 
 
+def _windowed(spark: SparkSession, label: str, make, flush: bool = False) -> DataFrame:  # noqa: ANN001
+    """Run windows over a log of panes to the end of their source and read back what they wrote."""
+    folder = work_dir(spark, label)
+    windows = make(f"{folder}/checkpoint", [to_parquet(f"{folder}/rows")])
+    windows.start(folder.rsplit("/", 1)[-1], bounded=True).awaitTermination()
+    if flush:
+        windows.flush()
+    return _zoneless(spark.read.parquet(f"{folder}/rows").drop("batch"), "hopStart", "hopEnd")
+
+
 # Rows the final watermark leaves in open windows are not emitted by a bounded run.
 _CLOSED = f"""(SELECT max(mytimestamp) - INTERVAL 30 SECOND FROM planes WHERE {_MEASURED})"""
 
@@ -401,8 +413,8 @@ SELECT icao, pings, hopStart, hopEnd, avgAltitude, maxAltitude, minAltitude,
 
 @check(_HOP5M_CLOSED)
 def q_stream_hop5m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = jobs.planes_result(X.planes(_event_stream(spark, sf_dir)), delay=jobs.DELAY)
-    return _zoneless(_collected(result, work_dir(spark, "hop5m")), "hopStart", "hopEnd")
+    planes = X.planes(_event_stream(spark, sf_dir))
+    return _windowed(spark, "hop5m", lambda *to: jobs.planes_windows(planes, *to, delay=jobs.DELAY))
 
 
 _TUMBLE_CLOSED = f"""{_WITH_PLANES}, counts AS (SELECT icao, altitude, {_FIVE_SECONDS} AS windowStart,
@@ -424,33 +436,39 @@ _NESTED_STREAM = f"""WITH foobar AS ({_NESTED_SQL}), hops AS
 @check(_NESTED_STREAM)
 def q_stream_hop1h_count_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     foobar = decode_nested(X.nested_messages(_event_stream(spark, sf_dir)))
-    hops = _collected(jobs.nested_result(foobar), work_dir(spark, "nested"))
-    return _zoneless(hops, "hopStart", "hopEnd")
+    return _windowed(spark, "nested", lambda *to: jobs.nested_windows(foobar, *to))
 
 
 @check(_HOP5M_CLOSED.replace("INTERVAL 30 SECOND", "INTERVAL 0 SECOND"))
 def q_stream_hop5m_no_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship's own rule: a watermark without delay. One micro-batch takes all, so none is late."""
-    result = jobs.planes_result(X.planes(_event_stream(spark, sf_dir)))
-    return _zoneless(_collected(result, work_dir(spark, "hop5m-no-delay")), "hopStart", "hopEnd")
+    planes = X.planes(_event_stream(spark, sf_dir))
+    return _windowed(spark, "hop5m-no-delay", lambda *to: jobs.planes_windows(planes, *to))
+
+
+@check(_HOP5M)
+def q_stream_hop5m_flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With an end-of-input batch, a bounded run gives every window of the batch query."""
+    planes = X.planes(_event_stream(spark, sf_dir))
+    return _windowed(spark, "hop5m-flushed", lambda *to: jobs.planes_windows(planes, *to, delay=jobs.DELAY), flush=True)
 
 
-# The four texts, continuously, over streaming views.
+# The four texts, continuously: the hopping ones over the windows that each batch closes.
 
 
 @check(_HOP5M_CLOSED)
 def q_stream_sql_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     aircraft.register_functions(spark)
-    jobs.register_planes(X.planes(_event_stream(spark, sf_dir)), jobs.DELAY, "planes_live")
-    text = jobs.PLANES_SQL.replace("planes_hop5m", "planes_live_hop5m")
-    return _zoneless(_collected(run_sql(spark, text), work_dir(spark, "sql-planes")), "hopStart", "hopEnd")
+    planes = X.planes(_event_stream(spark, sf_dir))
+    text = by_sql(jobs.PLANES_SQL.replace("planes_hop5m", "planes_live_hop5m"), "planes_live_hop5m")
+    return _windowed(spark, "sql-planes", lambda *to: jobs.planes_windows(planes, *to, delay=jobs.DELAY, finish=text))
 
 
 @check(f"SELECT * FROM ({_HOP1H}) WHERE hopEnd <= ({_WITH_PLANES} SELECT max(mytimestamp) - INTERVAL 30 SECOND FROM planes WHERE {_MEASURED})")
 def q_stream_sql_flights_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs.register_flights(X.planes(_event_stream(spark, sf_dir)), view="flights_live")
-    text = jobs.FLIGHTS_HOURLY_SQL.replace("flights_hop1h", "flights_live_hop1h")
-    return _zoneless(_collected(run_sql(spark, text), work_dir(spark, "sql-hourly")), "hopStart", "hopEnd")
+    planes = X.planes(_event_stream(spark, sf_dir))
+    text = by_sql(jobs.FLIGHTS_HOURLY_SQL.replace("flights_hop1h", "flights_live_hop1h"), "flights_live_hop1h")
+    return _windowed(spark, "sql-hourly", lambda *to: jobs.flights_hourly_windows(planes, *to, finish=text))
 
 
 @check(_TUMBLE_CLOSED)
@@ -462,9 +480,9 @@ def q_stream_sql_flights_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @check(_NESTED_STREAM)
 def q_stream_sql_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs.register_foobar(decode_nested(X.nested_messages(_event_stream(spark, sf_dir))), view="foobar_live")
-    text = jobs.NESTED_SQL.replace("foobar_hop1h", "foobar_live_hop1h")
-    return _zoneless(_collected(run_sql(spark, text), work_dir(spark, "sql-nested")), "hopStart", "hopEnd")
+    foobar = decode_nested(X.nested_messages(_event_stream(spark, sf_dir)))
+    text = by_sql(jobs.NESTED_SQL.replace("foobar_hop1h", "foobar_live_hop1h"), "foobar_live_hop1h")
+    return _windowed(spark, "sql-nested", lambda *to: jobs.nested_windows(foobar, *to, finish=text))
 
 
 @check(f"""SELECT sink, value FROM (SELECT '{{"icao":"' || icao || '","count":"' || pings || '"}}' AS pair,
@@ -524,3 +542,109 @@ def q_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = _arriving(spark, sf_dir, "update", "update")
     keys = ["icao", "windowStart", "windowEnd"]
     return changes.groupBy(*keys).agg(F.max_by("pings", "batch").alias("pings"))
+
+
+# Windows over a log of panes, fed the same arrivals.
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, label: str, mode: str = "append") -> str:
+    """Feed the arrivals one at a time to five-second windows of a resumed query; the folder of what it wrote."""
+    folder = work_dir(spark, label)
+    events = X.events(spark, sf_dir)
+    for arrival in range(_ARRIVALS):
+        events.where(F.expr(_ARRIVAL) == arrival).write.mode("append").parquet(f"{folder}/source")
+        stream = read_recorded(spark, f"{folder}/source", stream=True, schema=events.schema)
+        windows = Windows(
+            jobs.measured(X.planes(stream)), "mytimestamp", jobs.SLIDE, jobs.SLIDE, ["icao"], [jobs.PINGS], f"{folder}/checkpoint",
+            [to_parquet(f"{folder}/rows")], bounds=("windowStart", "windowEnd"), late=[to_parquet(f"{folder}/late")], mode=mode,
+        )
+        windows.start(folder.rsplit("/", 1)[-1], bounded=True).awaitTermination()
+    return folder
+
+
+@check(f"""{_KEPT}, counted AS (SELECT icao, windowStart, windowEnd, arrival, count(*) AS n FROM kept GROUP BY ALL),
+    results AS (SELECT icao, windowStart, windowEnd, arrival,
+        cast(sum(n) OVER (PARTITION BY icao, windowStart ORDER BY arrival) AS bigint) AS new, n FROM counted)
+    SELECT cast(arrival AS bigint) AS batch, icao, windowStart, windowEnd, true AS change, new AS pings FROM results
+    UNION ALL SELECT cast(arrival AS bigint), icao, windowStart, windowEnd, false, new - n FROM results WHERE new > n""")
+def q_stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result as changes: what each batch takes back, and what it puts in its place."""
+    folder = _arrivals(spark, sf_dir, "changes", "changes")
+    rows = spark.read.parquet(f"{folder}/rows").withColumn("batch", F.col("batch").cast("bigint"))
+    return _zoneless(rows, "windowStart", "windowEnd")
+
+
+@check(f"""{_KEPT} SELECT icao, mytimestamp, altitude, counter, arrived.arrival AS batch FROM arrived JOIN marks USING (arrival)
+    WHERE mark IS NOT NULL AND {_FIVE_SECONDS} + INTERVAL 5 SECOND <= mark""".replace("arrived.arrival AS batch", "cast(arrived.arrival AS bigint) AS batch"))
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that came too late for every window of theirs, with the batch they came in."""
+    folder = _arrivals(spark, sf_dir, "late-rows")
+    rows = spark.read.parquet(f"{folder}/late").withColumn("batch", F.col("batch").cast("bigint"))
+    return _zoneless(rows.select("icao", "mytimestamp", "altitude", "counter", "batch"), "mytimestamp")
+
+
+@check(f"""SELECT sink, icao, pings, altitude, windowStart, windowEnd FROM ({_TUMBLE_CLOSED}),
+    LATERAL (VALUES ('first'), ('second')) t(sink)""")
+def q_stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sinks that append; the query dies between them, and the ledger keeps the first from a second copy."""
+    folder = work_dir(spark, "once")
+    dies = {"left": 1}
+
+    def append(sink: str):  # noqa: ANN202
+        def write(batch: DataFrame, number: int) -> None:
+            if sink == "second" and dies["left"]:
+                dies["left"] -= 1
+                raise RuntimeError("killed between two sinks")
+            batch.write.mode("append").parquet(f"{folder}/{sink}")
+
+        return write
+
+    for _ in range(2):
+        result = jobs.flights_tumbling_result(X.planes(_event_stream(spark, sf_dir)))
+        writers = with_ledger({s: append(s) for s in ("first", "second")}, f"{folder}/written")
+        query = start(result, folder.rsplit("/", 1)[-1], f"{folder}/checkpoint", writers, bounded=True)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            if "killed between two sinks" not in str(error):
+                raise
+    sinks = [spark.read.parquet(f"{folder}/{s}").withColumn("sink", F.lit(s)) for s in ("first", "second")]
+    return _zoneless(sinks[0].union(sinks[1]), "windowStart", "windowEnd")
+
+
+# --- windows whose size is in the SQL text -------------------------------------------------------
+
+
+def _sized(slide: int, size: int, label: str) -> str:
+    parts = size // slide
+    bucket = f"time_bucket(INTERVAL {slide} SECOND, mytimestamp)"
+    return f"""SELECT '{label}' AS label, icao, pings, hopStart, hopEnd, avgAltitude, maxAltitude, minAltitude FROM (
+    SELECT icao, hopStart, hopStart + INTERVAL {size} SECOND AS hopEnd, {_STATS}
+    FROM (SELECT *, {bucket} - k * INTERVAL {slide} SECOND AS hopStart FROM planes, range({parts}) t(k) WHERE {_MEASURED})
+    GROUP BY icao, hopStart)"""
+
+
+@check(f"{_WITH_PLANES} {_sized(5, 300, 'a')} UNION ALL {_sized(60, 3600, 'b')} UNION ALL {_sized(10, 10, 'c')}")
+def q_hop_sizes_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table function, three sizes and slides, all from the text."""
+    register_hop_function(jobs.measured(_planes(spark, sf_dir)), "planes_hop", "mytimestamp", ["icao"], [jobs.PINGS, *jobs.ALTITUDES])
+    columns = "icao, pings, hopStart, hopEnd, avgAltitude, maxAltitude, minAltitude"
+    hops = (("a", "'5' SECOND", "'5' MINUTE"), ("b", "'1' MINUTE", "'1' HOUR"), ("c", "'10' SECOND", "'10' SECOND"))
+    texts = [f"SELECT '{label}' AS label, {columns} FROM planes_hop(INTERVAL {slide}, INTERVAL {size})" for label, slide, size in hops]
+    return run_sql(spark, " UNION ALL ".join(texts))
+
+
+@check(f"""WITH raw AS ({_RAW}) SELECT 'decoded' AS side, icao AS name, count(*) AS n FROM raw
+    WHERE counter % 41 <> 0 AND icao IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT 'rejects', CASE WHEN counter % 41 = 0 THEN 'malformed' ELSE 'missing_key' END, count(*) FROM raw
+    WHERE counter % 41 = 0 OR icao IS NULL GROUP BY ALL""")
+def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages read and parsed once, to decoded rows and to rejects; both read back as tables."""
+    folder = work_dir(spark, "decoded")
+    messages = X.broken_messages(_event_stream(spark, sf_dir)).select("value", "timestamp")
+    jobs.run_decoded(
+        spark, "planes", f"{folder}/out", {}, f"{folder}/checkpoint", messages=messages, name=folder.rsplit("/", 1)[-1], bounded=True
+    ).awaitTermination()
+    sides = (("decoded", jobs.decoded_table, "icao"), ("rejects", jobs.rejected_table, "reason"))
+    counts = [of(spark, f"{folder}/out").groupBy(F.col(c).alias("name")).agg(F.count("*").alias("n")).withColumn("side", F.lit(s)) for s, of, c in sides]
+    return counts[0].union(counts[1])

@@ -22,10 +22,11 @@ INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 class Part:
     kind: str  # count | sum | wide_sum | min | max
     column: str
+    tag: str = ""  # tells apart parts of the same kind over different rows
 
     @property
     def name(self) -> str:
-        return "__rows" if self.column == ROWS else f"__{self.kind}_{self.column}"
+        return ("__rows" if self.column == ROWS else f"__{self.kind}_{self.column}") + self.tag
 
     def over_rows(self) -> Column:
         """Aggregate of raw rows."""

@@ -48,7 +48,7 @@ def _string(field: str) -> Column:
     return F.when(F.schema_of_variant(_member(field)) == "STRING", F.try_variant_get("__message", f"$.{field}", "string"))
 
 
-def decode_aircraft(messages: DataFrame, value: str = "value", blank: str = "zero") -> DataFrame:
+def decode_aircraft(messages: DataFrame, value: str = "value", blank: str = "zero", key: str | None = None) -> DataFrame:
     """Aircraft records whose measurements depend on the message type.
 
     Type 1 sets the flight; 3 altitude and position; 4 speed; 5 and 7 altitude; others none. Blank
@@ -58,6 +58,9 @@ def decode_aircraft(messages: DataFrame, value: str = "value", blank: str = "zer
 
     Each message is parsed once and each field cast once: the cast fields are one array element of a
     generator, which filters on them do not cross.
+
+    With a ``key``, such as ``icao``, two columns tell of messages that have none, as in :func:`rejects`:
+    ``reason``, null for good ones, and the message's text ``rejected``, of others only.
     """
     carried = {c: "record_time" if c == "timestamp" else c for c in messages.columns if c != value}
 
@@ -86,7 +89,11 @@ def decode_aircraft(messages: DataFrame, value: str = "value", blank: str = "zer
         F.lit(None).cast("string").alias("tail"),
     )
     typed = parsed.select("*", kind).select("*", F.explode(F.array(fields)).alias("__fields"))
-    return typed.select("__fields.*", *[F.col(f"`{c}`").alias(name) for c, name in carried.items()])
+    told = []
+    if key is not None:
+        reason = _reason(F.col(f"__fields.{key}"))
+        told = [reason.alias("reason"), F.when(reason.isNotNull(), F.col(f"`{value}`")).alias("rejected")]
+    return typed.select("__fields.*", *[F.col(f"`{c}`").alias(name) for c, name in carried.items()], *told)
 
 
 def decode_flights(
@@ -138,11 +145,14 @@ def json_text(value: Column, path: str) -> Column:
     return F.get_json_object(value, path)
 
 
+def _reason(key: Column) -> Column:
+    return F.when(F.col("__message").isNull(), "malformed").when(key.isNull(), "missing_key")
+
+
 def rejects(messages: DataFrame, key: str, value: str = "value") -> DataFrame:
     """The messages the decoders of records find no ``key`` in, with a ``reason``.
 
     ``malformed`` is text that does not parse as JSON; ``missing_key`` JSON whose key is absent, null
     or no string, or that is no object.
     """
-    reason = F.when(F.col("__message").isNull(), "malformed").when(_string(key).isNull(), "missing_key")
-    return _parsed(messages, value).withColumn("reason", reason).where("reason IS NOT NULL").drop("__message")
+    return _parsed(messages, value).withColumn("reason", _reason(_string(key))).where("reason IS NOT NULL").drop("__message")

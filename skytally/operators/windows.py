@@ -119,7 +119,7 @@ def hop(
         if partitions is None:
             partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         panes = _panes(rows, time, slide, keys, measures)
-        starts = _expand_runs(panes, size, slide, keys, measures, partitions)
+        starts = _expand_runs(panes, size, slide, keys, distinct_parts(measures), partitions)
     return starts.select(
         *_named(keys),
         _instant(F.col("__start"), zoneless).alias(bounds[0]),
@@ -201,7 +201,7 @@ def _instant(us: Column, zoneless: bool) -> Column:
     return moment.cast("timestamp_ntz") if zoneless else moment
 
 
-def _panes(rows, time, slide, keys, measures) -> DataFrame:
+def _panes(rows, time, slide, keys, measures, *further) -> DataFrame:
     """Parts per key and slide-long pane, ``__pane`` being its start in microseconds.
 
     The one pass over raw rows: combined map-side, and spread by key *and* pane, so rows of one key
@@ -212,7 +212,7 @@ def _panes(rows, time, slide, keys, measures) -> DataFrame:
     return (
         rows.where(F.col(f"`{time}`").isNotNull())
         .groupBy(*_named(keys), pane.alias("__pane"))
-        .agg(*[p.over_rows().alias(p.name) for p in distinct_parts(measures)])
+        .agg(*[p.over_rows().alias(p.name) for p in distinct_parts(measures)], *further)
     )
 
 
@@ -228,7 +228,7 @@ def _expand_panes(panes, size, slide, keys, measures) -> DataFrame:
     )
 
 
-def _expand_runs(panes, size, slide, keys, measures, partitions) -> DataFrame:
+def _expand_runs(panes, size, slide, keys, parts, partitions, low=None, high=None, merge=False, where=None) -> DataFrame:
     """Windows from runs of equal windows.
 
     Cut time into blocks of one window size, ``n`` window starts each, and let ``s`` count the
@@ -237,9 +237,11 @@ def _expand_runs(panes, size, slide, keys, measures, partitions) -> DataFrame:
     ``s >= o + 1``. So a pane sent to both blocks changes the contents at one step, ``o + 1``, of
     each. Sorted by step, the windows of a run between two steps hold the block's own panes from the
     upper step onwards, and the following block's panes up to the lower step: two running totals.
+
+    ``low`` and ``high`` are the first and the last window start wanted, and ``where`` a condition on the
+    parts of a run. With ``merge`` a pane may come in several rows, added up where they meet.
     """
     n = size // slide
-    parts = distinct_parts(measures)
     # one hash spreads the groups whatever the key columns are, constant ones included
     group = [F.col("__group"), *_named(keys), F.col("__block")]
     own = F.col("__own")  # the pane lies in the block itself, not in the following one
@@ -265,6 +267,8 @@ def _expand_runs(panes, size, slide, keys, measures, partitions) -> DataFrame:
         .withColumn("__group", F.xxhash64(*_named(keys), "__block"))
         .repartition(partitions, "__group")
     )
+    if merge:
+        spread = spread.groupBy(*group, "__step", "__own").agg(*[p.over_parts(F.col(f"`{p.name}`")).alias(p.name) for p in parts])
 
     upward = Window.partitionBy(*group).orderBy(F.col("__step"), own)
     downward = Window.partitionBy(*group).orderBy(F.col("__step").desc(), own.desc())
@@ -313,6 +317,14 @@ def _expand_runs(panes, size, slide, keys, measures, partitions) -> DataFrame:
     )
     first = F.col("__block") + F.col("low") * _us(slide)
     last = F.col("__block") + (F.col("high") - 1) * _us(slide)
+    if where is not None:
+        runs = runs.where(where)
+    if low is not None:
+        first = F.greatest(first, F.lit(low))
+    if high is not None:
+        last = F.least(last, F.lit(high))
+    if low is not None or high is not None:
+        runs = runs.where(first <= last)
     return runs.select(
         *_named(keys),
         *_named([p.name for p in parts]),

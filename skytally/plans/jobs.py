@@ -4,13 +4,15 @@ Each ``*_result`` function maps rows to rows and is the same for tables and stre
 function wires a topic, the query and its sinks together. The ``run_*`` functions also register their
 decoded stream, and its hopping windows, under view names SQL text can use. ``view`` replaces the name
 ``planes``, ``flights`` or ``foobar`` and ``name`` the query's, for two runs of a job in one session. A
+The hopping jobs keep a log of panes under their checkpoint (:mod:`skytally.streaming.panes`), whose further
+``options`` they take: writers of ``late`` rows, ``mode="changes"``. A
 topic is read from ``starting`` on, ``max_offsets`` records to a micro-batch: set the latter before
 replaying a large topic, whose first micro-batch otherwise is all of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +26,11 @@ from skytally.operators.windows import hop, tumble
 from skytally.schemas import NESTED_COLUMNS, PLANES_COLUMNS
 from skytally.session import apply_conf
 from skytally.sinks.encode import json_rows, key_count, key_count_json, text_rows
-from skytally.sinks.write import Writer, to_console, to_topic
+from skytally.sinks.write import Writer, to_console, to_split, to_topic
 from skytally.sources.kafka import read_topic_stream
 from skytally.sources.views import register_hops, register_view
 from skytally.streaming.eventtime import record_time
+from skytally.streaming.panes import Windows
 from skytally.streaming.run import start
 
 # Window sizes, the common slide, and the two lateness rules.
@@ -43,6 +46,7 @@ ALTITUDES = (
     M.largest("altitude", "maxAltitude"),
     M.smallest("altitude", "minAltitude"),
 )
+STATS_ROW = ("icao", "pings", "hopStart", "hopEnd", "avgAltitude", "maxAltitude", "minAltitude")
 
 # The jobs as SQL text, for tables and streams alike: the tumbling one over the view `flights`, the
 # others over the views of hopping windows that `register_*` makes, whose plans they share.
@@ -76,9 +80,26 @@ def planes_result(
         measured(planes), "mytimestamp", FIVE_MINUTES, SLIDE, ["icao"], [PINGS, *ALTITUDES],
         strategy=strategy, delay=delay, partitions=partitions,
     )
-    return stats.select(
-        "icao", "pings", "hopStart", "hopEnd", "avgAltitude", "maxAltitude", "minAltitude",
-        is_military(F.col("icao")).alias("IsMilitaryPlane"),
+    return _planes_row(stats)
+
+
+def _planes_row(stats: DataFrame) -> DataFrame:
+    military = is_military(F.col("icao")).alias("IsMilitaryPlane")
+    return stats.select(*_flag(stats), *STATS_ROW, military)
+
+
+def _flag(stats: DataFrame) -> list[str]:
+    """The flag of changes, where a result has one, comes first."""
+    return [c for c in ("change",) if c in stats.columns]
+
+
+def planes_windows(
+    planes: DataFrame, checkpoint: str, writers: Sequence[Writer], delay: timedelta = NO_DELAY, finish=_planes_row, **options
+) -> Windows:
+    """:func:`planes_result` of a stream, as a query over a log of panes."""
+    return Windows(
+        measured(planes), "mytimestamp", FIVE_MINUTES, SLIDE, ["icao"], [PINGS, *ALTITUDES], checkpoint, writers,
+        delay=delay, finish=finish, **options,
     )
 
 
@@ -90,9 +111,17 @@ def flights_hourly_result(
         measured(flights), "mytimestamp", ONE_HOUR, SLIDE, ["icao"], [PINGS, *ALTITUDES],
         strategy=strategy, delay=delay, partitions=partitions,
     )
-    return stats.select(
-        "icao", "pings", "hopStart", "hopEnd", "avgAltitude", "maxAltitude", "minAltitude"
-    )
+    return stats.select(*STATS_ROW)
+
+
+def flights_hourly_windows(
+    flights: DataFrame, checkpoint: str, writers: Sequence[Writer], delay: timedelta = DELAY, finish=None, **options
+) -> Windows:
+    """:func:`flights_hourly_result` of a stream, as a query over a log of panes."""
+    return Windows(
+        measured(flights), "mytimestamp", ONE_HOUR, SLIDE, ["icao"], [PINGS, *ALTITUDES], checkpoint, writers, delay=delay,
+        finish=finish or (lambda stats: stats.select(*_flag(stats), *STATS_ROW)), **options,
+    )
 
 
 def flights_tumbling_result(flights: DataFrame, delay: timedelta = DELAY, bounds: bool = True) -> DataFrame:
@@ -121,6 +150,17 @@ def nested_result(
     return counts.select("mycount", "field1", "hopStart", "hopEnd")
 
 
+def nested_windows(
+    foobar: DataFrame, checkpoint: str, writers: Sequence[Writer], delay: timedelta = DELAY, finish=None, **options
+) -> Windows:
+    """:func:`nested_result` of a stream, as a query over a log of panes."""
+    row = lambda counts: counts.select(*_flag(counts), "mycount", "field1", "hopStart", "hopEnd")
+    return Windows(
+        foobar, "mytimestamp", ONE_HOUR, SLIDE, ["field1"], [M.count_rows("mycount")], checkpoint, writers, delay=delay,
+        finish=finish or row, **options,
+    )
+
+
 def register_planes(planes: DataFrame, delay: timedelta = NO_DELAY, view: str = "planes") -> None:
     """The views ``planes`` and ``planes_hop5m``."""
     register_view(planes, view, time="mytimestamp", delay=delay)
@@ -152,6 +192,11 @@ def planes_table(messages: DataFrame, blank: str = "zero") -> DataFrame:
     return decoded.select(*PLANES_COLUMNS)
 
 
+def _split(options: dict) -> tuple[dict, bool]:
+    """Options of the windows, and whether the run takes what its source holds now and stops."""
+    return {k: v for k, v in options.items() if k != "bounded"}, options.get("bounded", False)
+
+
 def run_planes(
     spark: SparkSession,
     read_topic: str,
@@ -178,10 +223,8 @@ def run_planes(
     planes = planes_table(source)
     register_planes(planes, delay, view)
     sinks = writers or [to_topic(write_topic, properties, json_rows), to_console()]
-    return start(
-        planes_result(planes, delay), name or f"planes from {read_topic}", checkpoint, sinks,
-        interval=interval, **options,
-    )
+    windows, bounded = _split(options)
+    return planes_windows(planes, checkpoint, sinks, delay, **windows).start(name or f"planes from {read_topic}", interval, bounded)
 
 
 def run_flights_hourly(
@@ -206,10 +249,8 @@ def run_flights_hourly(
     flights = decode_flights(source)
     register_flights(flights, delay, view)
     sinks = writers or [to_console(), to_topic(write_topic, properties, text_rows)]
-    return start(
-        flights_hourly_result(flights, delay), name or "flights hourly", checkpoint, sinks,
-        interval=interval, **options,
-    )
+    windows, bounded = _split(options)
+    return flights_hourly_windows(flights, checkpoint, sinks, delay, **windows).start(name or "flights hourly", interval, bounded)
 
 
 def run_flights_tumbling(
@@ -260,9 +301,56 @@ def run_nested(
     source = messages if messages is not None else read_topic_stream(spark, read_topic, properties, starting, max_offsets)
     foobar = decode_nested(source)
     register_foobar(foobar, delay, view)
-    result = nested_result(foobar, delay)
-    result.printSchema()
-    return start(result, name or "nested hourly", checkpoint, writers or [to_console()], interval=interval, **options)
+    nested_result(foobar, delay).printSchema()
+    windows, bounded = _split(options)
+    return nested_windows(foobar, checkpoint, writers or [to_console()], delay, **windows).start(name or "nested hourly", interval, bounded)
+
+
+def run_decoded(
+    spark: SparkSession,
+    read_topic: str,
+    folder: str,
+    properties: Mapping[str, str],
+    checkpoint: str,
+    key: str = "icao",
+    blank: str = "zero",
+    interval: timedelta = SLIDE,
+    messages: DataFrame | None = None,
+    name: str | None = None,
+    starting: str = "earliest",
+    max_offsets: int | None = None,
+    **options,
+) -> StreamingQuery:
+    """Aircraft messages, read and parsed once, to two tables: decoded rows, and rejects with a reason.
+
+    :func:`decoded_table` and :func:`rejected_table` read them, as tables or as streams that other jobs start from.
+    """
+    source = messages if messages is not None else read_topic_stream(spark, read_topic, properties, starting, max_offsets)
+    rows = decode_aircraft(source, blank=blank, key=key).withColumn("bad", F.col("reason").isNotNull())
+    return start(
+        rows, name or f"decoded {read_topic}", checkpoint, [to_split(folder, "bad", ("decoded", "rejects"))],
+        interval=interval, **options,
+    )
+
+
+def _side(spark: SparkSession, folder: str, part: str, schema: str, stream: bool, files_per_batch: int | None) -> DataFrame:
+    reader = (spark.readStream if stream else spark.read).schema(schema)
+    if stream and files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{folder}/batch=*/part={part}")
+
+
+def decoded_table(spark: SparkSession, folder: str, stream: bool = False, files_per_batch: int | None = None) -> DataFrame:
+    """The decoded rows that :func:`run_decoded` wrote, in the columns of the ``planes`` view."""
+    record = "flight string, timestamp_verbose string, msg_type int, track int, timestamp bigint, altitude int, counter bigint, lon double, lat double, icao string, speed int"
+    rows = _side(spark, folder, "decoded", f"{record}, record_time timestamp", stream, files_per_batch)
+    return record_time(rows, "record_time").select(*PLANES_COLUMNS)
+
+
+def rejected_table(spark: SparkSession, folder: str, stream: bool = False, files_per_batch: int | None = None) -> DataFrame:
+    """``value, reason, record_time`` of the messages that :func:`run_decoded` found no key in."""
+    rows = _side(spark, folder, "rejects", "rejected string, reason string, record_time timestamp", stream, files_per_batch)
+    return rows.withColumnRenamed("rejected", "value")
 
 
 def run_rejects(

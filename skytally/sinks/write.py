@@ -1,8 +1,10 @@
 """Writers a running query hands each micro-batch to.
 
 A writer is a function of a batch DataFrame and the batch number. Delivery is at least once: a batch
-that is repeated after a failure is written again, except by :func:`to_parquet`, which gives every
-batch a folder of its own and overwrites it.
+that is repeated after a failure is written again, except by :func:`to_parquet` and :func:`to_text`, which give every
+batch a folder of its own and overwrite it. :func:`with_ledger` keeps sinks that have a batch from getting
+it again when a later sink of the same batch fails; what remains is a sink that fails after it took the
+batch and before the ledger says so.
 """
 
 from __future__ import annotations
@@ -11,12 +13,16 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
 from skytally.sinks.encode import text_rows
 from skytally.sources.kafka import writer_options
+from skytally.streaming.files import Folder
 
 Writer = Callable[[DataFrame, int], None]
 Encoder = Callable[[DataFrame], DataFrame]
+#: Only a query's last batch can be repeated; some more notes stay for people to read.
+KEPT_NOTES = 100
 
 
 def _whole(writer: Writer) -> Writer:
@@ -70,6 +76,41 @@ def to_parquet(path: str) -> Writer:
     return _whole(write)
 
 
+def with_ledger(writers: Mapping[str, Writer], folder: str) -> list[Writer]:
+    """The writers, each of which notes in ``folder`` which batches it has written, and skips those.
+
+    A note is written in one step after the writer has returned, under the sink's name and the batch's number,
+    so a query that failed between two sinks goes on with the second. Names must stay the same over restarts;
+    a new checkpoint needs a new folder. Numbers below ``KEPT_NOTES`` before the last are removed.
+    """
+
+    def noted(name: str, writer: Writer) -> Writer:
+        def write(batch: DataFrame, number: int) -> None:
+            ledger = Folder(batch.sparkSession, f"{folder.rstrip('/')}/{name}")
+            if str(number) in ledger:
+                return
+            writer(batch, number)
+            ledger.write(str(number), "")
+            ledger.delete(str(number - KEPT_NOTES))
+
+        return write
+
+    return [noted(name, writer) for name, writer in writers.items()]
+
+
+def to_split(path: str, flag: str, names: tuple[str, str]) -> Writer:
+    """Rows in two Parquet tables ``path/names``, by whether ``flag`` is false or true, in one pass over the batch.
+
+    Each has a folder per batch. Written as one table of two parts, so that the batch is computed once.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        named = batch.withColumn("part", F.when(F.col(flag), names[1]).otherwise(names[0])).drop(flag)
+        named.write.mode("overwrite").partitionBy("part").parquet(f"{path}/batch={number}")
+
+    return _whole(write)
+
+
 def fan_out(writers: Sequence[Writer]) -> Writer:
     """Feed one result to several writers while computing it once.
 

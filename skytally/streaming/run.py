@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from skytally.sinks.write import Writer, fan_out
 
@@ -37,8 +38,42 @@ def start(
 
 
 def dropped_late_rows(query: StreamingQuery) -> list[int]:
-    """Rows each micro-batch dropped as late, over all stateful operators."""
+    """Rows each of the last micro-batches dropped as late, over all stateful operators.
+
+    Goes back as far as the query's progress does, 100 batches by default; :class:`LateRows` counts all.
+    """
     return [
         sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
         for progress in query.recentProgress
     ]
+
+
+class LateRows(StreamingQueryListener):
+    """Adds up the rows that stateful queries drop as late, over all their micro-batches while it listens.
+
+    Counts by query id, which a checkpoint keeps over restarts. Spark tells of a batch a moment after it
+    ended, so counts are whole once ``ended`` has the query's run.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: Counter[str] = Counter()
+        self.batches: Counter[str] = Counter()
+        self.ended: set[str] = set()
+
+    def listen(self, spark: SparkSession) -> LateRows:
+        spark.streams.addListener(self)
+        return self
+
+    def onQueryStarted(self, event) -> None:  # noqa: ANN001, N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: ANN001, N802
+        progress = event.progress
+        self.batches[str(progress.id)] += 1
+        self.dropped[str(progress.id)] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:  # noqa: ANN001, N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: ANN001, N802
+        self.ended.add(str(event.runId))

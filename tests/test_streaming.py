@@ -6,16 +6,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from skytally.functions import measures as M
+from skytally.operators.decode import decode_aircraft, rejects
 from skytally.operators.windows import hop, tumble
 from skytally.plans import jobs
 from skytally.schemas import MESSAGE
 from skytally.session import work_dir
 from skytally.sinks.encode import json_rows, text_rows
-from skytally.sinks.write import to_console, to_parquet, to_text
+from skytally.sinks.write import to_console, to_parquet, to_text, with_ledger
 from skytally.sources.files import read_lines, read_recorded
-from skytally.sources.views import register_view, run_sql
-from skytally.streaming.run import dropped_late_rows, start
-from tests.helpers import rows
+from skytally.sources.views import register_hop_function, register_view, run_sql
+from skytally.streaming.run import LateRows, dropped_late_rows, start
+from tests.helpers import plan, rows
 
 SECOND = timedelta(seconds=1)
 START = 1522075000
@@ -299,3 +300,124 @@ def test_lines_take_their_time_from_the_payload(spark):
     assert read_lines(spark, folder, stream=True, files_per_batch=1).isStreaming
     times = [r[0] for r in read_lines(spark, folder).selectExpr("unix_seconds(timestamp)").collect()]
     assert sorted(times, key=str) == [1522075071, None]
+
+
+def test_a_ledger_repeats_no_sink(spark):
+    """Sinks that append; the second dies in the second batch, once before and once after it wrote."""
+    stream, folder = recorded(spark, [[(i * 100 + s, "A", s) for s in range(4)] for i in range(4)])
+    out = work_dir(spark, "ledger")
+    dies = {"second": [1, 2]}
+
+    def append(name):
+        def write(batch, number):
+            if name == "second" and number in dies["second"]:
+                dies["second"].remove(number)
+                raise RuntimeError("killed")
+            batch.withColumn("number", F.lit(number)).write.mode("append").parquet(f"{out}/{name}")
+
+        return write
+
+    for attempt in range(3):
+        writers = with_ledger({n: append(n) for n in ("first", "second", "third")}, f"{out}/written")
+        query = start(stream, "ledger", f"{out}/c", writers, bounded=True)
+        if attempt < 2:
+            with pytest.raises(Exception, match="killed"):
+                query.awaitTermination()
+        else:
+            query.awaitTermination()
+    expected = rows(spark.read.parquet(folder))
+    for name in ("first", "second", "third"):
+        assert rows(spark.read.parquet(f"{out}/{name}").drop("number")) == expected
+    assert not dies["second"] and sorted(os.listdir(f"{out}/written/third".removeprefix("file:")))[-4:] == ["0", "1", "2", "3"]
+
+
+def test_late_rows_are_counted_over_all_batches(spark):
+    """Progress is kept for two batches here; the listener counts them all."""
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    listener = LateRows().listen(spark)
+    try:
+        stream, _ = recorded(spark, FILES)
+        result = hop(stream, "t", 15 * SECOND, 5 * SECOND, ["icao"], MEASURES, delay=30 * SECOND)
+        _, query = run(spark, result)
+        for _ in range(100):
+            if str(query.runId) in listener.ended:
+                break
+            time.sleep(0.1)
+        assert listener.dropped[str(query.id)] == 6 and listener.batches[str(query.id)] >= 5
+        assert sum(dropped_late_rows(query)) < 6
+    finally:
+        spark.streams.removeListener(listener)
+        spark.conf.set(key, before)
+
+
+class _Event:
+    def __init__(self, drops):
+        self.progress = type("P", (), {"id": "q", "stateOperators": [type("O", (), {"numRowsDroppedByWatermark": d}) for d in drops]})
+
+
+def test_listener_adds_up_more_batches_than_progress_keeps():
+    listener = LateRows()
+    for i in range(250):
+        listener.onQueryProgress(_Event([i % 3, 1]))
+    assert listener.batches["q"] == 250 and listener.dropped["q"] == 250 + sum(i % 3 for i in range(250))
+
+
+def test_messages_are_decoded_once_for_both_sides(spark):
+    """Decoded rows and rejects of one pass, and windows that stream from the decoded table."""
+    batch, folder = messages_file(spark)
+    bad = spark.createDataFrame([("nope",), ('{"flight":"F"}',), ('{"icao":7}',)], "value string")
+    bad.withColumn("timestamp", F.timestamp_seconds(F.lit(START))).write.mode("append").parquet(folder)
+    whole = spark.read.schema(MESSAGE).parquet(folder)
+    stream = read_recorded(spark, folder, stream=True, schema=MESSAGE)
+    out = work_dir(spark, "sides")
+    jobs.run_decoded(spark, "planes", f"{out}/t", {}, f"{out}/c1", messages=stream, bounded=True).awaitTermination()
+    got = rows(jobs.rejected_table(spark, f"{out}/t").select("value", "reason"))
+    assert got == rows(rejects(whole, "icao").select("value", "reason")) and len(got) == 3
+    good = jobs.planes_table(whole).where("icao IS NOT NULL")
+    assert rows(jobs.decoded_table(spark, f"{out}/t")) == rows(good)
+    typed = jobs.decoded_table(spark, f"{out}/t", stream=True)
+    work = jobs.planes_windows(typed, f"{out}/c2", [to_parquet(f"{out}/rows")])
+    work.start("from decoded", bounded=True).awaitTermination()
+    work.flush()
+    assert rows(spark.read.parquet(f"{out}/rows").drop("batch")) == rows(jobs.planes_result(good))
+
+
+def test_one_decode_reads_its_messages_once(spark):
+    batch, _ = messages_file(spark)
+    sides = decode_aircraft(batch, key="icao").withColumn("bad", F.col("reason").isNotNull())
+    text = plan(sides)
+    assert text.count("FileScan") + text.count("Scan parquet") <= 2 and text.count("try_parse_json") <= 2
+
+
+def test_hop_function(spark):
+    data = [(i * 7 % 400, "AB"[i % 2] if i % 11 else None, i if i % 5 else None) for i in range(300)]
+    table = spark.createDataFrame(data, "s long, icao string, altitude int").withColumn("t", F.timestamp_seconds(F.col("s") + START))
+    measures = [M.count("icao", "pings"), M.total("altitude", "sum"), M.mean("altitude", "mean"), M.smallest("altitude", "low"), M.largest("altitude", "high"), M.mean("s", "s_mean", "double")]
+    for zone in ("timestamp", "timestamp_ntz"):
+        timed = table.withColumn("t", F.col("t").cast(zone))
+        register_hop_function(timed, "hops", "t", ["icao"], measures)
+        for slide, size in ((5, 5), (5, 60), (20, 300)):
+            got = run_sql(spark, f"SELECT * FROM hops(INTERVAL '{slide}' SECOND, INTERVAL '{size}' SECOND)")
+            expected = hop(timed, "t", size * SECOND, slide * SECOND, ["icao"], measures)
+            assert got.schema.simpleString() == expected.schema.simpleString() and rows(got) == rows(expected)
+            assert "Expand" not in plan(got)
+    by_name = run_sql(spark, "SELECT count(*) AS n FROM hops(size => INTERVAL '1' MINUTE, slide => INTERVAL '20' SECOND)")
+    assert by_name.first().n == hop(table, "t", 60 * SECOND, 20 * SECOND, ["icao"], measures).count()
+    with pytest.raises(Exception, match="multiple"):
+        run_sql(spark, "SELECT * FROM hops(INTERVAL '7' SECOND, INTERVAL '1' MINUTE)").collect()
+    stream, _ = recorded(spark, FILES[:1])
+    with pytest.raises(ValueError, match="table"):
+        register_hop_function(stream, "hops", "t", ["icao"], MEASURES)
+
+
+def test_jobs_that_emit_changes(spark):
+    _, folder = messages_file(spark)
+    stream = read_recorded(spark, folder, stream=True, schema=MESSAGE)
+    out = work_dir(spark, "job")
+    jobs.run_planes(
+        spark, "planes", "stats", {}, f"{out}/c", messages=stream, writers=[to_parquet(f"{out}/rows")], mode="changes", bounded=True
+    ).awaitTermination()
+    got = spark.read.parquet(f"{out}/rows")
+    assert got.columns[0] == "change" and rows(got.drop("change", "batch")) == rows(jobs.planes_result(jobs.planes_table(spark.read.parquet(folder))))
