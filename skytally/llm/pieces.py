@@ -40,11 +40,11 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 1
 CACHE = 1 << 18
 #: Parts looked up at a time, and merges of an entry: what is skipped of them is one number.
-LOOK_UP, MOST = 1 << 16, 52
-#: Marks of what was looked up in vain: only what is so again is entered.
-SEEN = 1 << 22
+LOOK_UP, MOST = 1 << 17, 52
+#: Marks of what was looked up in vain, and how often it must have been before it is entered.
+SEEN, OFTEN = 1 << 22, 8
 #: Bytes of text encoded at a time.
-SLICE = 1 << 19
+SLICE = 1 << 20
 #: Parts of more symbols than this are encoded one by one.
 WIDE = 48
 _SPACE = "▁"
@@ -156,7 +156,7 @@ class Pieces:
         self.entries: dict[str | tuple[int, int], int] = {}
         self.results: list[bytes] = []
         self.kept, self.skipped = Lists(), Lists()
-        self.seen = np.zeros(SEEN, bool)
+        self.seen = np.zeros(SEEN, np.uint8)
 
     def symbols(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the characters of all parts, or of their bytes, and where each part's begin."""
@@ -321,8 +321,9 @@ class Pieces:
         top = np.flatnonzero(above < 0)
         slot[top] = [hash(parts[i]) for i in top.tolist()]
         slot &= SEEN - 1
-        listed = listed & self.seen[slot]
-        self.seen[slot] = True
+        times = self.seen[slot]
+        listed = listed & (times >= OFTEN)
+        self.seen[slot] = np.minimum(times, OFTEN) + 1
         owner, merge, skipped = (x[listed[draws[0]]] for x in draws)
         below = np.flatnonzero((above >= 0) & listed)
         known = []

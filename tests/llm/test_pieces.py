@@ -59,10 +59,11 @@ def test_each_occurrence_of_a_word_is_split_at_the_rate(spark):
     assert 2 < split.var() < 8  # binomial: 4.5
 
 
-@pytest.mark.parametrize("rate, cache", [(0.1, 1 << 18), (0.4, 1 << 18), (0.1, 20), (0.0, 20)])
-def test_table_gives_what_each_occurrence_draws(monkeypatch, rate, cache):
+@pytest.mark.parametrize("rate, cache, often", [(0.1, 1 << 18, 8), (0.4, 1 << 18, 1), (0.1, 20, 1), (0.0, 20, 1)])
+def test_table_gives_what_each_occurrence_draws(monkeypatch, rate, cache, often):
     monkeypatch.setattr(pieces, "CACHE", cache)
     monkeypatch.setattr(pieces, "LOOK_UP", 64)
+    monkeypatch.setattr(pieces, "OFTEN", often)
     texts = ["the international organization of standards and ﬁ " + "=" * 60] * 120
     names = pieces.mix(np.arange(len(texts)).astype(np.uint64))
     held, alone = pieces.Pieces(pieces.vocabulary(), rate), pieces.Pieces(pieces.vocabulary(), rate)
