@@ -3,7 +3,7 @@
 A hopping window of an hour every five seconds keeps 720 open windows a key. Here no window is state. Each
 micro-batch is aggregated per key and slide-long pane, the parts of every measure (counts, sums, minima,
 maxima) are appended to a log, and the windows that the batch closes are finished from the panes of the
-log by the running totals of a batch hop. A batch thus writes one row for each key and pane in it,
+log by the running totals of a batch hop, or, if they are few, by adding up once the panes that all of them share. A batch thus writes one row for each key and pane in it,
 whatever the number of windows, and reads the panes of one window size and what the batch adds.
 
 The log is a folder a batch, merged every ``COMPACT`` batches into one that drops what no open window
@@ -39,6 +39,8 @@ from skytally.streaming.files import Folder
 
 #: Batches after which their panes are merged.
 COMPACT = 16
+#: Windows of a key closed by one batch, up to which their common panes are added up instead of running totals.
+FEW = 16
 MODES = ("append", "changes")
 
 
@@ -216,11 +218,22 @@ class Windows:
         size, slide = micros(self.size), micros(self.slide)
         low = None if after is None else ((after - size) // slide + 1) * slide
         high = (until - size) // slide * slide
-        found = _expand_runs(
-            self._panes_of(self._until(batch), low, high), self.size, self.slide, self.keys, self.parts, self.partitions, low, high, merge=True
-        )
+        panes = self._panes_of(self._until(batch), low, high)
+        if low is not None and low <= high and (high - low) // slide < min(FEW, size // slide):
+            found = self._few(panes, low, high)
+        else:
+            found = _expand_runs(panes, self.size, self.slide, self.keys, self.parts, self.partitions, low, high, merge=True)
         return found.select(*_named(self.keys), *self._edges(), *_finished(self.measures))
 
+    def _few(self, panes: DataFrame, low: int, high: int) -> DataFrame:
+        """The windows that start from ``low`` to ``high``, few of them: all share most panes, which are added up once."""
+        added = [p.over_parts(F.col(f"`{p.name}`")).alias(p.name) for p in self.parts]
+        pane, size, slide = F.col("__pane"), _us(self.size), _us(self.slide)
+        shared = (pane >= F.lit(high)) & (pane < F.lit(low) + size)
+        merged = panes.withColumn("__pane", F.when(shared, F.lit(high)).otherwise(pane)).groupBy(*_named(self.keys), "__pane").agg(*added)
+        starts = F.sequence(F.greatest(F.lit(low), pane - size + slide), F.least(F.lit(high), pane), slide)
+        return merged.withColumn("__start", F.explode(starts)).groupBy(*_named(self.keys), "__start").agg(*added)
+
     def _edges(self) -> list[Column]:
         return [_instant(F.col("__start"), False).alias(self.bounds[0]), _instant(F.col("__start") + _us(self.size), False).alias(self.bounds[1])]
 

@@ -63,10 +63,11 @@ def test_windows_close_by_batch_as_by_loops(spark):
     assert work.counts() == {"kept": sum(map(len, FILES)) - len(late), "late": len(late)}
 
 
-@pytest.mark.parametrize("compact, size", [(2, 5), (2, 15), (16, 15), (2, 60)])
-def test_random_batches(spark, monkeypatch, compact, size):
+@pytest.mark.parametrize("compact, size, few", [(2, 5, 16), (2, 15, 16), (16, 15, 0), (2, 60, 16), (16, 60, 3)])
+def test_random_batches(spark, monkeypatch, compact, size, few):
     """Many batches, with rows out of order; every closed window equals the batch operator over the rows kept."""
     monkeypatch.setattr(panes, "COMPACT", compact)
+    monkeypatch.setattr(panes, "FEW", few)
     pick = random.Random(size)
     files = [[(max(0, i * 20 + pick.randrange(-60, 25)), pick.choice("ABC"), pick.randrange(100)) for _ in range(15)] for i in range(5)]
     stream, _ = recorded(spark, files)
