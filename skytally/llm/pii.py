@@ -159,7 +159,7 @@ def _strict(number: int, kind: str) -> Column:
 
 
 def _number_of(kind: int) -> Column:
-    return F.size(F.filter("__spans", lambda s: s["kind"] == kind)).cast("long")
+    return F.size(F.filter("__base", lambda s: s["kind"] == kind)).cast("long")
 
 
 def labelled(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -259,7 +259,7 @@ def _printed(column: str) -> Column:
 
 
 def op7(docs: DataFrame) -> DataFrame:
-    """Counts, strict spans as a digest and all spans of all documents."""
+    """Counts of the strict spans by kind, their digest, and all spans of all documents."""
     found = spans(docs.select("doc_id", "text"), keep=["doc_id"])
     count = [_number_of(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return found.select("doc_id", *count, F.sha2(_printed("__base").cast("binary"), 256).alias("base_sha256"), _printed("__spans").alias("spans"))

@@ -81,6 +81,19 @@ def test_the_method_adds_what_strict_patterns_miss(spark):
     assert all(got[i].spans == "" for i, t in enumerate(texts) if t.startswith(("total", "nothing")))
 
 
+def test_counts_are_of_strict_spans_also_where_others_are_added(spark):
+    """Phones that run into a card number are found by the wider patterns only, and counted nowhere."""
+    texts = [f"call +1 ({200 + i}) 555-{1000 + i} now" for i in range(60)] + [f"card 45391488034364{x:02d} ok" for x in range(100)]
+    texts += [f"total {i}{i + 11}4{i + 5} units" for i in range(40)]
+    texts = texts * 3 + ["call +1 (269) 555-3296 4539148803436467 now, write a@b.co"]
+    docs = documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])
+    got = {r.doc_id: r for r in pii.op7(docs).collect()}
+    assert got[len(texts) - 1].spans == "phone:5:22,card:23:39,email:51:57"
+    for i, text in enumerate(texts):
+        base = strict(text)
+        assert [got[i][f"n_{kind}"] for kind in PATTERNS] == [sum(s.startswith(kind + ":") for s in base) for kind in PATTERNS]
+
+
 def test_redaction(spark):
     docs = documents(spark)
     clean = pii.redacted(docs)
