@@ -242,8 +242,8 @@ def _expand_runs(panes, size, slide, keys, parts, partitions, low=None, high=Non
     parts of a run. With ``merge`` a pane may come in several rows, added up where they meet.
     """
     n = size // slide
-    # one hash spreads the groups whatever the key columns are, constant ones included
-    group = [F.col("__group"), *_named(keys), F.col("__block")]
+    # the hash tells apart the groups of a block whatever the key columns are, constant ones included
+    group = [F.col("__block"), F.col("__group"), *_named(keys)]
     own = F.col("__own")  # the pane lies in the block itself, not in the following one
 
     offset = F.pmod(F.col("__pane"), _us(size))
@@ -265,7 +265,9 @@ def _expand_runs(panes, size, slide, keys, parts, partitions, low=None, high=Non
         # the last pane of the following block enters no window that starts in this one
         .where(own | (F.col("__step") < n))
         .withColumn("__group", F.xxhash64(*_named(keys), "__block"))
-        .repartition(partitions, "__group")
+        # A task gets the groups of a stretch of time, block by block. Its rows then have few window starts, which
+        # columnar files write as short codes that recur from key to key; spread over all of time they are most of the result.
+        .repartitionByRange(partitions, "__block", "__group")
     )
     if merge:
         spread = spread.groupBy(*group, "__step", "__own").agg(*[p.over_parts(F.col(f"`{p.name}`")).alias(p.name) for p in parts])

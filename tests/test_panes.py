@@ -205,3 +205,13 @@ def test_folder_of_texts(spark, tmp_path):
     folder.delete("x")
     folder.delete("x")
     assert folder.names() == []
+
+
+def test_files_hold_stretches_of_time(spark):
+    files = [[(20 * i, "ABCDEFGH"[i % 8], i) for i in range(2000)]]
+    stream, _ = recorded(spark, files)
+    _, folder = ran(stream, size=3600 * SECOND, partitions=4)
+    got = spark.read.parquet(f"{folder}/rows")
+    starts = got.select("hopStart").distinct().count()
+    parts = got.groupBy(F.input_file_name()).agg(F.countDistinct("hopStart").alias("starts")).collect()
+    assert len(parts) == 4 and sum(r.starts for r in parts) < 1.5 * starts

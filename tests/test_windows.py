@@ -184,3 +184,14 @@ def test_no_task_sees_more_than_two_windows_of_panes(spark):
     assert got.agg(F.sum("n")).collect()[0][0] == n * 12
     spread = got.groupBy(F.spark_partition_id()).count().collect()
     assert len(spread) == 8 and max(r["count"] for r in spread) < 0.3 * n // 50
+
+
+def test_tasks_write_stretches_of_time(spark):
+    """Rows of a task have few window starts, which recur from key to key: files of them stay small."""
+    keyed = spark.range(40 * 60).select(
+        (F.col("id") % 40).cast("string").alias("k"), F.timestamp_micros(F.col("id") * 97_000_000).alias("t"), F.lit(1).alias("v")
+    )
+    got = hop(keyed, "t", 3600 * SECOND, 5 * SECOND, ["k"], [M.count_rows("n")], partitions=8)
+    starts = got.select("hopStart").distinct().count()
+    tasks = got.groupBy(F.spark_partition_id()).agg(F.countDistinct("hopStart").alias("starts")).collect()
+    assert len(tasks) == 8 and sum(r.starts for r in tasks) < 1.5 * starts
