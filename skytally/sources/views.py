@@ -103,7 +103,8 @@ def register_hop_function(
 
     ``rows`` is a table, exposed as the view ``<name>_rows``. The plan is that of the ``runs`` way of
     :func:`skytally.operators.windows.hop`, whose docstring tells how windows come from running totals: the
-    arguments are constants in it. A size that is no multiple of the slide is an error.
+    arguments are constants in it, and as many tasks as the session has shuffle partitions write each result. A size
+    that is no multiple of the slide is an error.
     """
     if rows.isStreaming:
         raise ValueError("a table function reads a table; on a stream use streaming.panes with by_sql")
@@ -116,7 +117,8 @@ def register_hop_function(
     named = ", ".join(f"`{p.name}`" for p in parts)
     size, slide = "unix_micros(timestamp_micros(0) + size)", "unix_micros(timestamp_micros(0) + slide)"
     size = f"CASE WHEN {size} % {slide} = 0 THEN {size} ELSE raise_error('size must be a multiple of slide') END"
-    within = f"PARTITION BY {key}, __block"
+    within = f"PARTITION BY __block, __group, {key}"
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     upward, downward = f"{within} ORDER BY __step, __own", f"{within} ORDER BY __step DESC, __own DESC"
     totals = ", ".join(
         f"{_over_parts(p, f'CASE WHEN NOT __own THEN `{p.name}` END')} OVER ({upward} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS `{p.name}_before`, "
@@ -139,13 +141,14 @@ FROM (SELECT {key}, __run.*, explode(sequence(__block + __run.low * {slide}, __b
 FROM (SELECT {key}, __block, explode(CASE WHEN __last THEN array({run("__low", "__step", "ahead", "before")},
       {run("__step", f"CAST({size} div {slide} AS int)", "before", "entering")}) ELSE array({run("__low", "__step", "ahead", "before")}) END) AS __run
 FROM (SELECT {key}, __block, lag(__step, 1, 0) OVER ({upward}) AS __low, __step, lead(__step) OVER ({upward}) IS NULL AS __last, {totals}
+FROM (SELECT /*+ REPARTITION_BY_RANGE({partitions}, __block, __group) */ *, xxhash64({key}, __block) AS __group
 FROM (SELECT {key}, {named}, CAST(pmod(__pane, {size}) div {slide} + 1 AS int) AS __step, __to.block AS __block, __to.own AS __own
 FROM (SELECT *, explode(array(struct(__pane - pmod(__pane, {size}) AS block, true AS own),
       struct(__pane - pmod(__pane, {size}) - {size} AS block, false AS own))) AS __to
 FROM (SELECT {key}, __us - pmod(__us, {slide}) AS __pane, {", ".join(f"{_over_rows(p)} AS `{p.name}`" for p in parts)}
 FROM (SELECT *, unix_micros(CAST(`{time}` AS timestamp)) AS __us FROM {name}_rows WHERE `{time}` IS NOT NULL)
 GROUP BY {key}, __us - pmod(__us, {slide}))))
-WHERE __own OR __step < {size} div {slide}))
+WHERE __own OR __step < {size} div {slide})))
 WHERE __run.low < __run.high AND __run.`{ALL_ROWS.name}` IS NOT NULL)"""
     rows.sparkSession.sql(text)
 

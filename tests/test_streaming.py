@@ -412,6 +412,17 @@ def test_hop_function(spark):
         register_hop_function(stream, "hops", "t", ["icao"], MEASURES)
 
 
+def test_hop_function_keeps_its_tasks(spark):
+    """Adaptive execution does not merge the small pane rows into a few tasks; each writes a stretch of time."""
+    table = spark.range(3000).select((F.col("id") % 50).cast("string").alias("icao"), F.timestamp_seconds(F.col("id") * 30).alias("t"))
+    register_hop_function(table, "kept_hops", "t", ["icao"], [M.count_rows("n")])
+    got = run_sql(spark, "SELECT * FROM kept_hops(INTERVAL '1' MINUTE, INTERVAL '1' HOUR)")
+    tasks = got.groupBy(F.spark_partition_id()).agg(F.countDistinct("hopStart").alias("starts"), F.count("*").alias("n")).collect()
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(r.n for r in tasks) < 2 * got.count() / len(tasks)
+    assert sum(r.starts for r in tasks) < 1.5 * got.select("hopStart").distinct().count()
+
+
 def test_jobs_that_emit_changes(spark):
     _, folder = messages_file(spark)
     stream = read_recorded(spark, folder, stream=True, schema=MESSAGE)
