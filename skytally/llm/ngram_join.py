@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from skytally.llm.components import components
 from skytally.llm.store import saved
-from skytally.llm.tokens import combine, hashed_words, mix, parts_of, rows_of
+from skytally.llm.tokens import as_bytes, combine, hashed_words, mix, parts_of, pieces_of, rows_of
 
 #: What :func:`op6` and :func:`classes` go by, and what :func:`deduplicated` does.
 SHINGLE, PERCENT = 4, 85
@@ -390,8 +390,8 @@ def _candidates(members: DataFrame, best_only: bool, percent: int) -> DataFrame:
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
 
-def _among(rows: DataFrame, column: str) -> Callable[[Column], Column]:
-    """Whether a key's hash may be among those of ``column``; never no for one that is.
+def _among(rows: DataFrame, column: str) -> Callable[[pa.Array], pa.Array]:
+    """Whether keys' hashes may be among those of ``column``; never no for one that is. To be called in tasks.
 
     A Bloom filter of 16 bits a row, ``FILTER_BITS`` at most: beyond that it lets more rows pass, no fewer.
     """
@@ -404,7 +404,6 @@ def _among(rows: DataFrame, column: str) -> Callable[[Column], Column]:
     table[found.column("word").to_numpy()] = found.column("set").to_numpy()
     shared = rows.sparkSession.sparkContext.broadcast(table.view(_U))
 
-    @F.arrow_udf(T.BooleanType())
     def among(hashes: pa.Array) -> pa.Array:
         h = hashes.to_numpy(zero_copy_only=False)
         out = np.ones(len(h), bool)
@@ -447,21 +446,19 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: i
     members = saved(groups.join(nodes.select("node", "n", "bitmap"), "node"), "members")
     pairs = saved(_candidates(members.withColumn("component", F.col("node")), True, percent), "pairs")
     # sets are needed of those only that the bitmaps leave a partner
-    wanted = pairs.filter("a = b").join(nodes, F.col("a") == F.col("node")).select(F.col("node").alias("__node"), F.col("least").alias("__least"))
+    wanted = pairs.filter("a = b").join(nodes, F.col("a") == F.col("node")).select("node", "least")
     wanted = saved(wanted, "wanted")
-    texts = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
-    texts = texts.filter(_among(wanted, "__least")(F.xxhash64("__key"))).join(wanted, F.col("__key").eqNullSafe(F.col("__least")))
+    among = _among(wanted, "least")
 
     def whole(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in parts_of(frames, 1, SLICE):
+        """Filter and sets in one pass: two Python operators in a task would hold two workers."""
+        for frame in parts_of((f.filter(among(f.column(0))) for f in frames), 1, SLICE):
             tokens, starts = sets(frame.column(1), shingle)
             node = nodes_of(tokens, starts)
-            yield pa.RecordBatch.from_arrays(
-                [frame.column(0), pa.array(node), pa.array([tokens[a:b].tobytes() for a, b in zip(starts, starts[1:])], pa.binary())], ["__node", "node", "tokens"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array([tokens[a:b].tobytes() for a, b in zip(starts, starts[1:])], pa.binary())], ["node", "tokens"])
 
-    held = texts.select("__node", "__text").mapInArrow(whole, "__node long, node long, tokens binary").filter("__node = node")
-    held = saved(held.select("node", "tokens").dropDuplicates(["node"]), "sets")
+    held = docs.select(F.xxhash64(key).alias("hash"), F.col(text).alias("text")).mapInArrow(whole, "node long, tokens binary")
+    held = saved(held.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a, b = (held.select(F.col("node").alias(c), F.col("tokens").alias(f"t{c}")) for c in "ab")
@@ -505,11 +502,16 @@ def op6(docs: DataFrame) -> DataFrame:
 
 
 def _node(shingle: int) -> Callable[[Column], Column]:
+    """The hash of a text's set. Not taken for deterministic, so that a filter on it does not work it out, in a worker more, again."""
+
     @F.arrow_udf(T.LongType())
     def node(texts: pa.Array) -> pa.Array:
-        return pa.array(nodes_of(*sets(texts, shingle)))
+        out = np.zeros(len(texts), np.int64)
+        for a, b in pieces_of(as_bytes(texts)[1], SLICE):
+            out[a:b] = nodes_of(*sets(texts.slice(a, b - a), shingle))
+        return pa.array(out)
 
-    return node
+    return node.asNondeterministic()
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE, percent: int = NEAR_PERCENT) -> DataFrame:

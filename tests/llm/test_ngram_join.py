@@ -152,6 +152,58 @@ def test_pipeline_stage_equals_brute_force_of_five_words(spark, monkeypatch, gro
     assert got == {k for k, c in least.items() if k == c} | {k for k, t in rows if not t}
 
 
+def most_python_operators(plan):
+    """Of one task: on a way through the plan, between exchanges."""
+    way, most = [(-1, 0)], 0
+    for line in plan.splitlines():
+        name = line.lstrip(" :+-*")
+        at = len(line) - len(name)
+        if name.startswith(("==", "AdaptiveSparkPlan")) or not name:
+            continue
+        while way[-1][0] >= at:
+            way.pop()
+        python = any(x in name.split("[")[0].split("(")[0] for x in ("Python", "Arrow", "Pandas"))
+        way.append((at, 0 if "Exchange" in name.split(" ")[0] else way[-1][1] + python))
+        most = max(most, way[-1][1])
+    return most
+
+
+def test_no_task_holds_two_python_workers(spark, monkeypatch, capsys):
+    """Each Python operator of a task holds a worker of its own, and workers stay: an executor's memory goes with them."""
+    plans = []
+
+    def noted(df):
+        capsys.readouterr()
+        df.explain()
+        plans.append(capsys.readouterr().out)
+        return df
+
+    def noting(df, label, *more, save=ngram_join.saved):
+        return save(noted(df), label, *more)
+
+    monkeypatch.setattr(ngram_join, "saved", noting)
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(near_copies(7, 30, 60, 2) + ["", "a b"])]
+    kept = noted(ngram_join.deduplicated(documents(spark, rows)))
+    assert 3 <= kept.count() < 32
+    assert [most_python_operators(p) for p in plans].count(1) >= 5
+    assert max(most_python_operators(p) for p in plans) == 1
+
+
+def test_repeated_and_missing_keys(spark):
+    """Sets are found by key: of several texts of one key, or of none, each keeps its links."""
+    texts = near_copies(9, 12, 80, 2) + near_copies(10, 12, 50, 1) + ["", "a b c", "a b c"]
+    check(spark, [((None, 3, i)[i % 3], t) for i, t in enumerate(texts)])
+
+
+def test_nodes_in_slices(spark, monkeypatch):
+    texts = [*near_copies(11, 40, 30, 5), None, "", "a b", "x" * 500]
+    expected = ngram_join.nodes_of(*ngram_join.sets(pa.array(texts))).tolist()
+    monkeypatch.setattr(ngram_join, "SLICE", 300)
+    rows = spark.createDataFrame(list(enumerate(texts)), "k long, t string").coalesce(1)
+    got = dict(rows.select("k", ngram_join._node(ngram_join.SHINGLE)("t")).collect())
+    assert [got[i] for i in range(len(texts))] == expected
+
+
 def test_rules_out_of_range(spark):
     for rule in ({"shingle": 0}, {"percent": 49}, {"percent": 101}):
         with pytest.raises(ValueError):
